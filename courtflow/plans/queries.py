@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtflow.plans import flatten_queries, lineup_queries
+from courtflow.plans import (
+    document_queries,
+    flatten_queries,
+    lineup_queries,
+    write_queries,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +26,7 @@ def _in_utc(query: Query) -> Query:
 
 
 def registry() -> dict[str, tuple[Query, str | None]]:
-    modules = (lineup_queries, flatten_queries)
+    modules = (lineup_queries, document_queries, flatten_queries, write_queries)
     return {
         name: (_in_utc(query), sql)
         for module in modules

@@ -10,26 +10,40 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from courtflow.operators.writes import (
     WriteAction,
     affected_rows,
-    constraint_check,
     drop_null_keys,
     rows_to_insert,
     union_rows,
     with_fill_update,
+    with_reject_reason,
     with_upsert,
 )
 from courtflow.schemas import TABLES, TableSpec
 
 _VERSION_DDL = "version BIGINT, name STRING, paths ARRAY<STRING>"
-FAILED = -1
+_REJECTS_DDL = "name STRING, reject_reason STRING, row STRING"
+# tables written at the same time, so that small ones need not wait for large ones
+TABLES_AT_ONCE = 4
 
 Write = tuple[str, WriteAction, DataFrame]
+Rows = dict[tuple[str, WriteAction], int]
+
+
+def _observed(seen: Observation, name: str, unknown: int) -> int:
+    """An observed count. Spark reports none if it found out, while running, that the
+    observed part of the plan is not needed."""
+    try:
+        return seen.get.get(name, unknown)
+    except Py4JJavaError:
+        return unknown
 
 
 class Warehouse:
@@ -42,6 +56,8 @@ class Warehouse:
         empty = {name: [] for name in TABLES}
         path = f"{self.root}/versions/v=0"
         self._version_frame(0, empty).write.mode("ignore").json(path)
+        none = self.spark.createDataFrame([], _REJECTS_DDL)
+        none.write.mode("ignore").parquet(f"{self.root}/rejects/none")
         if erase:
             version, _ = self._current()
             self._commit(version + 1, empty)
@@ -54,55 +70,69 @@ class Warehouse:
 
     def rejects(self, name: str) -> DataFrame:
         """Rows turned away from a table, with the reason."""
-        schema = f"{TABLES[name].ddl}, reject_reason STRING"
-        return self.spark.read.schema(schema).parquet(f"{self.root}/rejects/{name}/*")
+        rows = self.spark.read.schema(_REJECTS_DDL).parquet(f"{self.root}/rejects/*")
+        row = F.from_json("row", TABLES[name].ddl).alias("row")
+        return rows.filter(F.col("name") == name).select(row, "reject_reason").select(
+            "row.*", "reject_reason"
+        )
 
-    def write_batch(self, writes: Iterable[Write]) -> dict[tuple[str, WriteAction], int]:
+    def write_batch(self, writes: Iterable[Write]) -> Rows:
         """Write frames to their tables; returns affected rows per table and action.
 
         Frames for the same table and action become one. Rows that break a rule of
         the table go to the rejects, the others are written.
         """
-        grouped: dict[tuple[str, WriteAction], list[DataFrame]] = {}
+        grouped: dict[str, dict[WriteAction, list[DataFrame]]] = {}
         for name, action, frame in writes:
-            grouped.setdefault((name, action), []).append(frame)
+            grouped.setdefault(name, {}).setdefault(action, []).append(frame)
 
         version, tables = self._current()
-        rows: dict[tuple[str, WriteAction], int] = {}
-        for (name, action), frames in grouped.items():
-            spec = TABLES[name]
-            tables[name], rows[name, action] = self._write(
-                spec, action, union_rows(frames), tables[name]
-            )
+        rows: Rows = {}
+
+        def write_table(name: str) -> None:
+            for action, frames in grouped[name].items():
+                tables[name], rows[name, action] = self._write(
+                    TABLES[name], action, union_rows(frames), tables[name]
+                )
+
+        with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+            list(pool.map(write_table, grouped))
         self._commit(version + 1, tables)
         return rows
 
     @staticmethod
-    def total_rows(rows: dict[tuple[str, WriteAction], int]) -> int:
+    def total_rows(rows: Rows) -> int:
         return affected_rows(list(rows.values()))
 
     def _write(
         self, spec: TableSpec, action: WriteAction, frame: DataFrame, paths: list[str]
     ) -> tuple[list[str], int]:
         target = self._read(spec, paths)
-        frame = frame.select(*[c for c in spec.columns if c in frame.columns])
+        frame = frame.select(*[c for c in frame.columns if c in spec.columns])
+        path = f"{self.root}/tables/{spec.name}/{uuid.uuid4().hex}"
         if action is WriteAction.UPDATE:
             # an update brings some columns only, so only its key can be judged
-            valid = drop_null_keys(frame, spec)
-        else:
-            valid, bad = constraint_check(frame, spec)
-            self._reject(spec, bad)
+            after = with_fill_update(target, drop_null_keys(frame, spec), spec)
+            return [path], self._save(after, path, F.count_if("_written"))
 
-        path = f"{self.root}/tables/{spec.name}/{uuid.uuid4().hex}"
+        checked = with_reject_reason(frame, spec)
+        is_bad = F.col("reject_reason").isNotNull()
+        seen = Observation()
+        valid = (
+            checked.observe(seen, F.count_if(is_bad).alias("bad"))
+            .filter(~is_bad)
+            .drop("reject_reason")
+        )
         if action is WriteAction.INSERT:
+            paths = [*paths, path]
             n = self._save(rows_to_insert(target, valid, spec), path, F.count(F.lit(1)))
-            return [*paths, path], n
-        after = (
-            with_fill_update(target, valid, spec)
-            if action is WriteAction.UPDATE
-            else with_upsert(target, valid, spec)
-        )
-        return [path], self._save(after, path, F.count_if("_written"))
+        else:
+            paths = [path]
+            n = self._save(with_upsert(target, valid, spec), path, F.count_if("_written"))
+        # the frame is worked out again for its rejects only if it has any
+        if _observed(seen, "bad", unknown=1):
+            self._reject(spec, checked.filter(is_bad))
+        return paths, n
 
     def _save(self, df: DataFrame, path: str, count: F.Column) -> int:
         seen = Observation()
@@ -110,11 +140,13 @@ class Warehouse:
         if "_written" in df.columns:
             observed = observed.drop("_written")
         observed.write.parquet(path)
-        return seen.get.get("rows", 0)
+        return _observed(seen, "rows", unknown=0)
 
     def _reject(self, spec: TableSpec, bad: DataFrame) -> None:
-        path = f"{self.root}/rejects/{spec.name}/{uuid.uuid4().hex}"
-        bad.write.parquet(path)
+        row = F.to_json(F.struct(*[c for c in bad.columns if c != "reject_reason"]))
+        bad.select(
+            F.lit(spec.name).alias("name"), "reject_reason", row.alias("row")
+        ).write.parquet(f"{self.root}/rejects/{uuid.uuid4().hex}")
 
     def _read(self, spec: TableSpec, paths: list[str]) -> DataFrame:
         if not paths:
@@ -133,7 +165,6 @@ class Warehouse:
 
     def _current(self) -> tuple[int, dict[str, list[str]]]:
         versions = self.spark.read.schema(_VERSION_DDL).json(f"{self.root}/versions/*")
-        newest = versions.agg(F.max("version")).first()[0]
-        # thirteen rows of directory names
-        rows = versions.filter(F.col("version") == newest).collect()
-        return newest, {row["name"]: list(row["paths"]) for row in rows}
+        # one row of directory names per table
+        rows = versions.orderBy(F.col("version").desc()).limit(len(TABLES)).collect()
+        return rows[0]["version"], {row["name"]: list(row["paths"]) for row in rows}
