@@ -30,18 +30,24 @@ EMPTY = -1
 
 
 def is_sub() -> Column:
-    return F.coalesce(F.col("play_type_id") == SUB_TYPE_ID, F.lit(False))
+    """Null for a play without a type, so that a filter on it reaches the scan."""
+    return F.col("play_type_id") == SUB_TYPE_ID
+
+
+def is_other() -> Column:
+    return ~F.coalesce(is_sub(), F.lit(False))
 
 
 def _bookends(plays: DataFrame, game_logs: DataFrame, rule: PeriodRule) -> DataFrame:
     """Substitution rows for players who start or finish the game on court."""
+    # rows without a player still tell how long the game went on
     players = (
-        plays.filter(F.col("player_id") >= 1)
-        .groupBy("game_id", "player_id")
+        plays.groupBy("game_id", "player_id")
         .agg(
             F.min("team_id").alias("any_team"),
             F.max(F.when(is_sub(), F.col("team_id"))).alias("sub_team"),
             F.count_if(is_sub()).alias("n_subs"),
+            F.max("period").alias("period"),
         )
     )
     starters = (
@@ -50,7 +56,6 @@ def _bookends(plays: DataFrame, game_logs: DataFrame, rule: PeriodRule) -> DataF
         .distinct()
         .withColumn("starts", F.lit(True))
     )
-    last_period = plays.groupBy("game_id").agg(F.max("period").alias("last_period"))
 
     starts = F.coalesce("starts", F.lit(False))
     # going in is always the first move, so an odd count ends on court
@@ -78,8 +83,8 @@ def _bookends(plays: DataFrame, game_logs: DataFrame, rule: PeriodRule) -> DataF
     rows = F.array(F.when(starts, start_row), F.when(finishes, finish_row))
     return (
         players.join(starters, ["game_id", "player_id"], "left")
-        .filter(starts | finishes)
-        .join(last_period, "game_id")
+        .withColumn("last_period", F.max("period").over(Window.partitionBy("game_id")))
+        .filter((F.col("player_id") >= 1) & (starts | finishes))
         .select("game_id", "player_id", F.explode(F.array_compact(rows)).alias("row"))
         .select(
             "game_id",
@@ -132,7 +137,9 @@ def player_readings(subs: DataFrame) -> DataFrame:
     last = [F.lag(c).over(player).alias(f"last_{c}") for c in READING]
     return (
         subs.groupBy("game_id", "player_id", *READING)
-        .agg(F.count("sequence_id").alias("n_here"))
+        .agg(
+            F.count("sequence_id").alias("n_here"), F.max("team_id").alias("team_id")
+        )
         .select(
             "*",
             F.coalesce(F.sum("n_here").over(earlier), F.lit(0)).alias("n_before"),
@@ -179,7 +186,7 @@ def with_sub_index(
     """
     booked = add_sub_bookends(plays, game_logs, rule, keyed=keyed)
     subs = _index_subs(_booked_subs(plays, game_logs, rule, keyed))
-    others = booked.filter(~is_sub()).withColumn(
+    others = booked.filter(is_other()).withColumn(
         "sub_index", F.lit(-1).cast("bigint")
     )
     return others.unionByName(
@@ -238,80 +245,67 @@ def game_minutes(
 
 
 def _fold_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Carry both sides' slots through substitutions sorted by game and time.
+    """Carry both sides' slots through rows sorted by game and time.
 
-    Holds ten slots and the current batch, never a game.
+    Only substitutions and the first row of a game are looked at one by one; all rows
+    then take the state of the last of these. Holds ten slots and the current batch,
+    never a game.
     """
-    game, place, sides = None, 0, None
+    game, sides = None, ([EMPTY] * SLOTS, [EMPTY] * SLOTS)
     for batch in batches:
-        columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-        after = np.empty((2, batch.num_rows, SLOTS), dtype=np.int64)
-        places = np.empty(batch.num_rows, dtype=np.int64)
-        rows = zip(
-            columns["game_id"],
-            columns["is_away"],
-            columns["goes_out"],
-            columns["player_id"],
-            strict=True,
+        games = batch.column("game_id").to_numpy()
+        moves = batch.column("is_move").to_numpy(zero_copy_only=False)
+        begins = np.empty(batch.num_rows, dtype=bool)
+        begins[:1] = games[:1] != game
+        begins[1:] = games[1:] != games[:-1]
+
+        turns = np.flatnonzero(moves | begins)
+        states = [sides[0] + sides[1]]
+        turned = batch.take(pa.array(turns)).select(
+            ["is_move", "is_away", "goes_out", "player_id"]
         )
-        for i, (row_game, is_away, goes_out, player) in enumerate(rows):
-            if row_game != game:
-                game, place, sides = row_game, 0, ([EMPTY] * SLOTS, [EMPTY] * SLOTS)
-            slots = sides[is_away]
-            leaves, enters = (player, EMPTY) if goes_out else (EMPTY, player)
-            # without a match the last slot is taken
-            slots[slots.index(leaves) if leaves in slots else SLOTS - 1] = enters
-            after[0, i], after[1, i] = sides
-            places[i] = place = place + 1
+        rows = zip(*[c.to_pylist() for c in turned.columns], strict=True)
+        for is_first, (is_move, is_away, goes_out, player) in zip(
+            begins[turns].tolist(), rows, strict=True
+        ):
+            if is_first:
+                sides = ([EMPTY] * SLOTS, [EMPTY] * SLOTS)
+            if is_move:
+                slots = sides[is_away]
+                leaves, enters = (player, EMPTY) if goes_out else (EMPTY, player)
+                # without a match the last slot is taken
+                slots[slots.index(leaves) if leaves in slots else SLOTS - 1] = enters
+            states.append(sides[0] + sides[1])
+        game = games[-1] if batch.num_rows else game
+
+        at_row = np.cumsum(moves | begins)
+        after = np.array(states, dtype=np.int64)[at_row]
         offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * SLOTS)
         home, away = (
             pa.ListArray.from_arrays(offsets, pa.array(side.reshape(-1)))
-            for side in after
+            for side in (after[:, :SLOTS], after[:, SLOTS:])
         )
-        kept = ["game_id", "sequence_id", "is_finish", *READING]
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in kept], pa.array(places), home, away],
-            names=[*kept, "place", "home_in_play", "away_in_play"],
+            [batch.column("game_id"), batch.column("spot"), home, away],
+            names=["game_id", "spot", "home_in_play", "away_in_play"],
         )
 
 
+_SPOT = (
+    "struct<period: bigint, clock_minutes: bigint, clock_seconds: bigint, "
+    "sub_sequence_id: bigint>"
+)
 _FOLDED = (
-    "game_id bigint, sequence_id bigint, is_finish boolean, period bigint, "
-    "clock_minutes bigint, clock_seconds bigint, place bigint, "
+    f"game_id bigint, spot {_SPOT}, "
     "home_in_play array<bigint>, away_in_play array<bigint>"
 )
 
 
-def _slots_after_subs(subs: DataFrame, games: DataFrame) -> DataFrame:
-    """Both lineups right after every substitution, start and finish rows included.
-
-    Which slot a player takes depends on every substitution before it, so the rows of
-    one game pass through one task in order; they do so as a stream of narrow rows.
-    """
-    is_bookend = F.col("sequence_id") < 0
-    bookend = F.when(
-        is_bookend, F.when(F.col("clock_minutes") > 0, -1).otherwise(1)
-    ).otherwise(0)
-    none = F.lit(-1)
-    ordered = order_columns([("goes_out", True), ("team_id", False), ("sequence_id", False)])
-    return (
-        subs.join(games.select(F.col("id").alias("game_id"), "home_id"), "game_id")
-        .select(
-            "game_id",
-            "sequence_id",
-            *[F.col(c).cast("bigint").alias(c) for c in READING],
-            bookend.alias("bookend"),
-            (bookend == 1).alias("is_finish"),
-            (F.col("sub_index") % 2 == 1).alias("goes_out"),
-            "team_id",
-            (F.coalesce("team_id", none) != F.coalesce("home_id", none)).alias("is_away"),
-            F.coalesce("player_id", none).alias("player_id"),
-        )
-        .repartition("game_id")
-        .sortWithinPartitions("game_id", *reading_order(), "bookend", *ordered)
-        .select("game_id", "sequence_id", "is_finish", *READING, "goes_out", "is_away", "player_id")
-        .mapInArrow(_fold_slots, _FOLDED)
-    )
+def _spot(sub_sequence_id: Column) -> Column:
+    """Where a play finds its lineup: its clock reading and, for a substitution, itself."""
+    return F.struct(
+        *READING, sub_sequence_id.cast("bigint").alias("sub_sequence_id")
+    ).cast(_SPOT)
 
 
 def with_in_play(
@@ -324,50 +318,68 @@ def with_in_play(
     """Every play of a known game with the five players on court per side.
 
     A substitution shows the lineup right after itself. Any other play shows the
-    lineup after all substitutions at its clock reading, so it only needs the state
-    of that reading, which one window over the game's readings carries forward.
+    lineup after all substitutions at its clock reading, so all such plays of a reading
+    share one answer, and plays themselves are not sorted but joined.
+
+    Which slot a player takes depends on every substitution before, so one game's
+    substitutions and clock readings pass through one task, as a stream of narrow rows.
     """
-    subs = _index_subs(_booked_subs(plays, game_logs, rule, keyed)).select(
-        "game_id", "sequence_id", *READING, "team_id", "player_id", "sub_index"
+    start = (F.col("sequence_id") < 0) & (F.col("clock_minutes") > 0)
+    bookend = F.when(start, -1).when(F.col("sequence_id") < 0, 1).otherwise(0)
+    moves = _index_subs(_booked_subs(plays, game_logs, rule, keyed)).select(
+        "game_id",
+        _spot(F.col("sequence_id")).alias("spot"),
+        "team_id",
+        "player_id",
+        (F.col("sub_index") % 2 == 1).alias("goes_out"),
+        bookend.alias("bookend"),
+        F.lit(True).alias("is_move"),
     )
-    after_subs = _slots_after_subs(subs, games)
-    spot = F.struct(*READING).alias("spot")
-    lineup = F.struct("home_in_play", "away_in_play")
-
-    changes = (
-        after_subs.filter(~F.col("is_finish"))
-        .groupBy("game_id", *READING)
-        .agg(F.max_by(lineup, F.col("place")).alias("lineup"))
-        .withColumn("is_play", F.lit(False))
-    )
-    others = plays.filter(~is_sub())
-    known = games.select(F.col("id").alias("game_id"))
-    wanted = (
-        others.select("game_id", *READING)
+    readings = (
+        plays.filter(is_other())
+        .select("game_id", *READING)
         .distinct()
-        .join(known, "game_id", "left_semi")
-        .withColumn("is_play", F.lit(True))
+        .select(
+            "game_id",
+            _spot(F.lit(None)).alias("spot"),
+            F.lit(0).alias("bookend"),
+            F.lit(False).alias("is_move"),
+        )
     )
-    so_far = Window.partitionBy("game_id").orderBy(*reading_order(), "is_play")
-    at_reading = (
-        changes.unionByName(wanted, allowMissingColumns=True)
-        .withColumn("lineup", F.last("lineup", ignorenulls=True).over(so_far))
-        .filter("is_play")
-        .select("game_id", spot, "lineup")
+    none = F.lit(EMPTY)
+    at_home = F.coalesce("team_id", none) == F.coalesce("home_id", none)
+    in_reading = order_columns(
+        [
+            ("bookend", False),
+            ("is_move", True),
+            ("goes_out", True),
+            ("team_id", False),
+            ("spot.sub_sequence_id", False),
+        ]
     )
-    nobody = F.array(*[F.lit(EMPTY).cast("bigint")] * SLOTS)
-    others = (
-        others.withColumn("spot", spot)
-        .join(at_reading, ["game_id", "spot"])
+    in_play = (
+        moves.unionByName(readings, allowMissingColumns=True)
+        .join(games.select(F.col("id").alias("game_id"), "home_id"), "game_id")
         .select(
-            *plays.columns,
-            F.coalesce("lineup.home_in_play", nobody).alias("home_in_play"),
-            F.coalesce("lineup.away_in_play", nobody).alias("away_in_play"),
+            F.col("game_id").cast("bigint").alias("game_id"),
+            "spot",
+            "team_id",
+            "bookend",
+            "is_move",
+            "goes_out",
+            (~at_home).alias("is_away"),
+            F.coalesce("player_id", none).alias("player_id"),
         )
+        .repartition("game_id")
+        .sortWithinPartitions("game_id", *reading_order("spot."), *in_reading)
+        .mapInArrow(_fold_slots, _FOLDED)
+    )
+    own = F.when(is_sub(), F.col("sequence_id"))
+    return (
+        plays.withColumn("spot", _spot(own))
+        .join(in_play, ["game_id", "spot"])
+        .select(*plays.columns, "home_in_play", "away_in_play")
     )
-    own = after_subs.select("game_id", "sequence_id", "home_in_play", "away_in_play")
-    changed = plays.filter(is_sub()).join(own, ["game_id", "sequence_id"])
-    return others.unionByName(changed)
 
 
 def lineup_sets(
@@ -386,55 +398,55 @@ def lineup_sets(
     """
     finish = (F.col("sequence_id") < 0) & (F.col("clock_minutes") == 0)
     subs = _booked_subs(plays, game_logs, rule, keyed).filter(~finish)
-    sides = (
-        subs.groupBy("game_id", "player_id")
-        .agg(F.max("team_id").alias("team_id"))
-        .join(games.select(F.col("id").alias("game_id"), "home_id"), "game_id")
-        .select(
-            "game_id",
-            "player_id",
-            F.coalesce(F.col("team_id") == F.col("home_id"), F.lit(False)).alias("is_home"),
-        )
-    )
-    spot = F.struct(*READING).alias("spot")
-    in_game = Window.partitionBy("game_id").orderBy(*reading_order())
+    spot = F.struct(*[F.col(c).cast("bigint").alias(c) for c in READING]).alias("spot")
+    start = (F.lit(1), rule.minutes(F.lit(1)), F.lit(0))
+
+    game = Window.partitionBy("game_id")
     numbered = (
-        plays.select("game_id", *READING)
-        .unionByName(subs.select("game_id", *READING))
+        plays.select("game_id", spot)
+        .unionByName(
+            plays.select(
+                "game_id",
+                F.struct(
+                    *[v.cast("bigint").alias(c) for c, v in zip(READING, start, strict=True)]
+                ).alias("spot"),
+            )
+        )
         .distinct()
-        .withColumn("tick", F.row_number().over(in_game))
-        .select("game_id", spot, "tick")
+        .join(games.select(F.col("id").alias("game_id"), "home_id"), "game_id")
+        .withColumns(
+            {
+                "tick": F.row_number().over(game.orderBy(*reading_order("spot."))),
+                "last_tick": F.count(F.lit(1)).over(game).cast("int"),
+            }
+        )
     )
-    last_tick = numbered.groupBy("game_id").agg(F.max("tick").alias("last_tick"))
-
     player = Window.partitionBy("game_id", "player_id").orderBy("tick")
     stints = (
         player_readings(subs.filter("player_id IS NOT NULL"))
-        .select("game_id", "player_id", spot, (F.col("n_before") + F.col("n_here")).alias("n"))
+        .withColumn("spot", spot)
         .join(numbered, ["game_id", "spot"])
         .withColumn("next_tick", F.lead("tick").over(player))
-        .filter("n % 2 = 1")
-        .join(last_tick, "game_id")
+        .filter((F.col("n_before") + F.col("n_here")) % 2 == 1)
         .select(
             "game_id",
             "player_id",
-            "tick",
-            F.coalesce(F.col("next_tick") - 1, F.col("last_tick")).alias("until"),
+            F.coalesce(F.col("team_id") == F.col("home_id"), F.lit(False)).alias("is_home"),
+            F.explode(
+                F.sequence("tick", F.coalesce(F.col("next_tick") - 1, F.col("last_tick")))
+            ).alias("tick"),
         )
     )
-    on_court = (
-        stints.join(sides, ["game_id", "player_id"])
-        .select("game_id", "player_id", "is_home", F.explode(F.sequence("tick", "until")).alias("tick"))
-        .groupBy("game_id", "tick")
-        .agg(
-            F.array_sort(F.collect_set(F.when(F.col("is_home"), F.col("player_id")))).alias("home"),
-            F.array_sort(F.collect_set(F.when(~F.col("is_home"), F.col("player_id")))).alias("away"),
-        )
+
+    def players_of(side: Column) -> Column:
+        return F.array_sort(F.collect_set(F.when(side, F.col("player_id"))))
+
+    on_court = stints.groupBy("game_id", "tick").agg(
+        players_of(F.col("is_home")).alias("home"),
+        players_of(~F.col("is_home")).alias("away"),
     )
-    at_reading = (
-        numbered.join(games.select(F.col("id").alias("game_id")), "game_id", "left_semi")
-        .join(on_court, ["game_id", "tick"], "left")
-        .select("game_id", "spot", "home", "away")
+    at_reading = numbered.join(on_court, ["game_id", "tick"], "left").select(
+        "game_id", "spot", "home", "away"
     )
     nobody = F.array().cast("array<bigint>")
     return (

@@ -22,11 +22,9 @@ def sort_by(df: DataFrame, by: Iterable[tuple[str | Column, bool]]) -> DataFrame
     return df.orderBy(*order_columns(by))
 
 
-def reading_order() -> list[Column]:
+def reading_order(prefix: str = "") -> list[Column]:
     """Game time: periods go up, the clock goes down."""
-    return order_columns(
-        [("period", False), ("clock_minutes", True), ("clock_seconds", True)]
-    )
+    return order_columns((f"{prefix}{c}", c != "period") for c in READING)
 
 
 def within_reading_order() -> list[Column]:

@@ -128,7 +128,7 @@ BOOKENDS_SUBS_ONLY = f"{BOOKENDS} WHERE play_type_id=584"
 def bookends_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plays given twice: one row per (game_id, sequence_id) must remain."""
     plays, logs = fixtures.plays(spark, sf_dir), fixtures.game_logs(spark, sf_dir)
-    others = plays.filter(~lineups.is_sub())
+    others = plays.filter(lineups.is_other())
     return _booked(lineups.add_sub_bookends(plays.unionByName(others), logs))
 
 
