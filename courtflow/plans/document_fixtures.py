@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtflow.plans.fixtures import table
+from courtflow.plans.fixtures import spread, table
 
 MINUTE_TEXT = "yyyy-MM-dd'T'HH:mm'Z'"
 SECOND_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -95,7 +95,7 @@ def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
         endDate=F.date_format(F.date_add("o_orderdate", (F.col("o_custkey") % 12).cast("int")), MINUTE_TEXT),
     )
     return _documents(
-        table(spark, sf_dir, "orders"),
+        spread(table(spark, sf_dir, "orders")),
         F.col("o_orderkey"),
         "schedule",
         _page(events=events, season=season),

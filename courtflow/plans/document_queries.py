@@ -11,7 +11,7 @@ from courtflow.functions import seasons
 from courtflow.functions.payloads import html_to_payload, json_path
 from courtflow.functions.values import excluding, with_default_column
 from courtflow.operators import discovery, records
-from courtflow.plans.fixtures import table
+from courtflow.plans.fixtures import spread, table
 from courtflow.schemas import RecordType
 from courtflow.session import scratch_path
 from courtflow.sources.documents import (
@@ -103,7 +103,7 @@ def culled(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("videos"),
         )
     )
-    documents = table(spark, sf_dir, "orders").select(
+    documents = spread(table(spark, sf_dir, "orders")).select(
         _text(F.col("o_orderkey")).alias("document_key"),
         F.when(status == "F", F.lit("game")).otherwise(F.lit("player")).alias("record_type"),
         F.when(status == "F", game).otherwise(player).alias("payload"),
@@ -128,7 +128,7 @@ def html(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     page = F.replace(F.col("html"), F.lit("<head>"), script)
     payload = html_to_payload(page)
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages")).select(
         "page_id",
         json_path(payload, "page_id", type_="bigint").alias("found_id"),
         json_path(payload, "url").alias("found_url"),
