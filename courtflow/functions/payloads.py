@@ -74,5 +74,6 @@ def html_to_payload(html: Column, strip_all_semicolons: bool = False) -> Column:
         text = F.replace(value, F.lit(";"))
     else:
         text = F.regexp_replace(value, r";\s*$", "")
-    valid = F.when(F.try_parse_json(text).isNotNull(), F.trim(text))
+    text = F.regexp_replace(text, r"^\s+|\s+$", "")
+    valid = F.when(F.try_parse_json(text).isNotNull(), text)
     return F.when(value.isNull(), F.lit(EMPTY_PAYLOAD)).otherwise(valid)

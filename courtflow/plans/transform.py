@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from courtflow.operators import discovery, game_pages, player_pages, schedules, standings
 from courtflow.operators.writes import WriteAction
@@ -21,16 +22,18 @@ COMPLETED_IN = {RecordType.GAME: "Games", RecordType.PLAYER: "Players"}
 
 
 def pending(store: DocumentStore, warehouse: Warehouse, record_type: RecordType) -> DataFrame:
-    """Newest documents of a type whose table row is not complete."""
-    documents = store.documents().filter(f"record_type = '{record_type.value}'")
+    """Newest documents of a type whose table row is not complete.
+
+    The same documents as those of ``discovery.pending_documents``; picking the newest
+    first leaves them partitioned by key, so payloads are shuffled once.
+    """
+    documents = store.documents().filter(F.col("record_type") == record_type.value)
+    newest = latest_documents(documents, ["document_key"])
     table = COMPLETED_IN.get(record_type)
-    complete = (
-        discovery.no_complete_ids(documents)
-        if table is None
-        else discovery.complete_ids(warehouse.read_table(table))
-    )
-    keys = discovery.pending_documents(documents, complete, record_type)
-    return latest_documents(documents.join(keys, "document_key", "left_semi"))
+    if table is None:
+        return newest
+    complete = discovery.complete_ids(warehouse.read_table(table))
+    return newest.join(complete, newest.document_key == complete.id, "left_anti")
 
 
 def standings_writes(parsed: DataFrame, as_of: dt.date) -> list[Write]:

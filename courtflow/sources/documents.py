@@ -12,13 +12,15 @@ from courtflow.functions.payloads import EMPTY_PAYLOAD, cull_payload
 from courtflow.schemas import CULL_PATHS, DOCUMENTS_DDL, MANIFEST_DDL, PAYLOADS, RecordType
 
 
-def latest_documents(documents: DataFrame) -> DataFrame:
+def latest_documents(
+    documents: DataFrame, keys: Sequence[str] = ("document_key", "record_type")
+) -> DataFrame:
     """Newest document per key and record type, for all keys at once.
 
     Spark keeps one candidate per key and map task before the shuffle, so a key with
     very many versions moves few of them.
     """
-    newest = Window.partitionBy("document_key", "record_type").orderBy(
+    newest = Window.partitionBy(*keys).orderBy(
         F.col("document_timestamp").desc_nulls_last(), F.xxhash64("payload").desc()
     )
     return (
