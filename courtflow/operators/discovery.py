@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtflow.functions.values import safe_int
+from courtflow.operators.keyed import absent_from
 from courtflow.schemas import RecordType
 
 
@@ -42,7 +43,7 @@ def discover_player_keys(games: DataFrame) -> DataFrame:
 
 def unseen_keys(keys: DataFrame, manifest: DataFrame) -> DataFrame:
     """Keys the manifest does not hold yet."""
-    return keys.join(manifest, ["document_key", "record_type"], "left_anti")
+    return absent_from(keys, manifest, ["document_key", "record_type"], few=True)
 
 
 def existing_keys(documents: DataFrame, record_type: RecordType) -> DataFrame:
@@ -58,7 +59,8 @@ def discovered_keys(
 ) -> DataFrame:
     """Manifest keys of a type that have no up-to-date document."""
     found = manifest.filter(F.col("record_type") == record_type.value)
-    return found.select("document_key").subtract(existing_keys(documents, record_type))
+    existing = existing_keys(documents, record_type)
+    return absent_from(found.select("document_key").distinct(), existing, ["document_key"])
 
 
 def complete_ids(table: DataFrame) -> DataFrame:
@@ -77,17 +79,12 @@ def pending_documents(
 ) -> DataFrame:
     """Distinct keys of a type whose table row is not complete."""
     keys = documents.filter(F.col("record_type") == record_type.value)
-    return (
-        keys.select("document_key")
-        .distinct()
-        .join(complete, F.col("document_key") == F.col("id"), "left_anti")
-    )
+    complete = complete.select(F.col("id").alias("document_key"))
+    return absent_from(keys.select("document_key").distinct(), complete, ["document_key"])
 
 
 def keys_to_fetch(requested: DataFrame, existing: DataFrame) -> DataFrame:
     """Requested keys, each once, without the existing ones."""
-    return (
-        requested.select("document_key")
-        .distinct()
-        .join(existing, "document_key", "left_anti")
+    return absent_from(
+        requested.select("document_key").distinct(), existing, ["document_key"], few=True
     )

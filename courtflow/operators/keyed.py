@@ -28,3 +28,19 @@ def one_per_key(
         .filter(F.col("_rank") == 1)
         .drop("_rank")
     )
+
+
+def absent_from(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], few: bool = False
+) -> DataFrame:
+    """Rows whose key the other frame lacks.
+
+    Keys of the other frame are made distinct before the shuffle, so none of them can
+    be hot. ``few`` says that ``df`` is a batch and the other frame far larger: it is
+    then cut to the keys of the batch first, which Spark does without shuffling it as
+    long as the batch's keys are small enough to broadcast.
+    """
+    known = other.select(*keys)
+    if few:
+        known = known.join(df.select(*keys), list(keys), "left_semi")
+    return df.join(known.distinct(), list(keys), "left_anti")

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtflow.operators.keyed import one_per_key
+from courtflow.operators.keyed import absent_from, one_per_key
 from courtflow.schemas import TableSpec
 
 
@@ -80,8 +80,7 @@ def rows_to_insert(
     order: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Rows whose key the target lacks, one per key. Only target keys are read."""
-    keys = list(spec.primary_key)
-    new = _source(df, spec, order).join(target.select(*keys), keys, "left_anti")
+    new = absent_from(_source(df, spec, order), target, spec.primary_key, few=True)
     return _fit(new, target)
 
 
@@ -159,7 +158,10 @@ def with_upsert(
     spec: TableSpec,
     order: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """``upsert`` with a flag ``_written`` on the rows it sets or adds."""
+    """``upsert`` with a flag ``_written`` on the rows it sets or adds.
+
+    Two joins rather than a full one, which would shuffle the target for any batch.
+    """
     keys = list(spec.primary_key)
     source = _source(df, spec, order)
     given = F.coalesce("_given", F.lit(False))
@@ -171,9 +173,11 @@ def with_upsert(
         new = F.col(f"new_{c}").cast(target.schema[c].dataType)
         return F.when(given, new).otherwise(F.col(c)).alias(c)
 
-    return target.join(_prefixed(source, keys), keys, "full").select(
+    kept = target.join(_prefixed(source, keys), keys, "left").select(
         *[value(c) for c in target.columns], given.alias("_written")
     )
+    added = rows_to_insert(target, df, spec, order).withColumn("_written", F.lit(True))
+    return kept.unionByName(added)
 
 
 def upsert(

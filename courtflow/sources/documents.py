@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtflow.functions.payloads import EMPTY_PAYLOAD, cull_payload
+from courtflow.operators.keyed import absent_from
 from courtflow.schemas import CULL_PATHS, DOCUMENTS_DDL, MANIFEST_DDL, PAYLOADS, RecordType
 
 
@@ -134,10 +135,6 @@ class DocumentStore:
 
 def new_manifest_keys(keys: DataFrame, manifest: DataFrame) -> DataFrame:
     """Distinct pairs that the manifest lacks; keys as text, null records left out."""
-    pair: Sequence[str] = ("document_key", "record_type")
-    return (
-        keys.select(F.col("document_key").cast("string"), "record_type")
-        .dropna(subset=list(pair))
-        .distinct()
-        .join(manifest, list(pair), "left_anti")
-    )
+    pair = ["document_key", "record_type"]
+    new = keys.select(F.col("document_key").cast("string"), "record_type")
+    return absent_from(new.dropna(subset=pair).distinct(), manifest, pair, few=True)
