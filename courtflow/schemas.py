@@ -26,6 +26,11 @@ class TableSpec:
     def schema(self) -> StructType:
         return StructType.fromDDL(self.ddl)
 
+    @property
+    def cluster_by(self) -> tuple[str, ...]:
+        """Rows of one game are stored together, as they are read together."""
+        return ("game_id",) if "game_id" in self.primary_key else ()
+
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
