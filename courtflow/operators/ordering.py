@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 READING = ("period", "clock_minutes", "clock_seconds")
@@ -44,3 +44,32 @@ def sort_plays(plays: DataFrame, with_datetime: bool = False) -> DataFrame:
     lead = ["datetime"] if with_datetime else []
     lead = order_columns((c, False) for c in [*lead, "game_id"])
     return plays.orderBy(*lead, *play_order())
+
+
+def number_plays(plays: DataFrame) -> DataFrame:
+    """Plays with ``place``, their position in the order of their game, from 1.
+
+    Counts per clock reading say how many plays come before a reading; only the plays
+    of one reading are sorted together, so a game of any size spreads over its readings.
+    """
+    spot = F.struct(*READING).alias("spot")
+    earlier = (
+        Window.partitionBy("game_id")
+        .orderBy(*reading_order())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    readings = (
+        plays.groupBy("game_id", *READING)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            "game_id",
+            spot,
+            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
+        )
+    )
+    here = Window.partitionBy("game_id", "spot").orderBy(*within_reading_order())
+    return (
+        plays.withColumn("spot", spot)
+        .join(readings, ["game_id", "spot"])
+        .select(*plays.columns, (F.col("n_before") + F.row_number().over(here)).alias("place"))
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtflow.functions.periods import MENS_RULE, CustomPeriodRule, PeriodRule
@@ -72,10 +72,8 @@ _BOOKED_SELECT = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in _BOOKED_COLUMN
 
 
 def sort_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_game = Window.partitionBy("game_id").orderBy(*ordering.play_order())
-    return fixtures.plays(spark, sf_dir).select(
-        "game_id", "sequence_id", F.row_number().over(by_game).cast("bigint").alias("place")
-    )
+    plays = fixtures.plays(spark, sf_dir)
+    return ordering.number_plays(plays).select("game_id", "sequence_id", "place")
 
 
 SORT_PLAYS = f"""WITH {PLAYS_SQL}

@@ -113,7 +113,7 @@ class Warehouse:
         if action is WriteAction.UPDATE:
             # an update brings some columns only, so only its key can be judged
             after = with_fill_update(target, drop_null_keys(frame, spec), spec)
-            return [path], self._save(spec, after, path, F.count_if("_written"))
+            return [path], self._save(spec, after, path)
 
         checked = with_reject_reason(frame, spec)
         is_bad = F.col("reject_reason").isNotNull()
@@ -125,32 +125,31 @@ class Warehouse:
         )
         if action is WriteAction.INSERT:
             paths = [*paths, path]
-            n = self._save(
-                spec, rows_to_insert(target, valid, spec), path, F.count(F.lit(1))
-            )
+            self._save(spec, rows_to_insert(target, valid, spec), path)
+            # from the files' footers: exact even if a lost task ran twice
+            n = self._read(spec, [path]).count()
         else:
             paths = [path]
-            n = self._save(
-                spec, with_upsert(target, valid, spec), path, F.count_if("_written")
-            )
+            n = self._save(spec, with_upsert(target, valid, spec), path)
         # the frame is worked out again for its rejects only if it has any
         if _observed(seen, "bad", unknown=1):
             self._reject(spec, checked.filter(is_bad))
         return paths, n
 
-    def _save(self, spec: TableSpec, df: DataFrame, path: str, count: F.Column) -> int:
-        """Write files of even size, the rows of a game together.
+    def _save(self, spec: TableSpec, df: DataFrame, path: str) -> int:
+        """Write files of even size, the rows of a game together; counts ``_written``.
 
         Rebalancing splits what is too large, so a hot game does not end in one task.
         Kept together, plays of a game combine on the map side when they are analysed.
         """
         seen = Observation()
-        rows = df.observe(seen, count.alias("rows")).select(*spec.columns)
-        rows = rows.hint("rebalance", *[F.col(c) for c in spec.cluster_by])
+        if "_written" in df.columns:
+            df = df.observe(seen, F.count_if("_written").alias("rows"))
+        rows = df.select(*spec.columns).hint("rebalance", *map(F.col, spec.cluster_by))
         if spec.cluster_by:
             rows = rows.sortWithinPartitions(*spec.cluster_by, *spec.primary_key)
         rows.write.parquet(path)
-        return _observed(seen, "rows", unknown=0)
+        return _observed(seen, "rows", unknown=0) if "_written" in df.columns else 0
 
     def _reject(self, spec: TableSpec, bad: DataFrame) -> None:
         row = F.to_json(F.struct(*[c for c in bad.columns if c != "reject_reason"]))

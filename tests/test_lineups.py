@@ -264,5 +264,7 @@ def test_sort_plays_puts_nulls_first(spark):
     plays = [play(1, SHOT, 7, 1, 5, 0), play(2, SHOT, 7, 1, None, 0), play(3, SHOT, 7, 1, 9, 0)]
     p, _, _ = frames(spark, plays, [], [])
     assert [r.sequence_id for r in ordering.sort_plays(p).collect()] == [2, 3, 1]
+    places = {r.sequence_id: r.place for r in ordering.number_plays(p).collect()}
+    assert places == {2: 1, 3: 2, 1: 3}
     dated = p.withColumn("datetime", F.when(F.col("sequence_id") == 1, F.lit(1)).otherwise(F.lit(2)))
     assert [r.sequence_id for r in ordering.sort_plays(dated, True).collect()] == [1, 2, 3]
