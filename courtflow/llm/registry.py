@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtflow.llm import jaccard, licenses, packing, pii, sharding, substrings
+from courtflow.llm import jaccard, licenses, packing, pii, sharding, substrings, vectors
 
 QUERIES = {
     "op1_license_scan": (licenses.op1_license_scan, None),
@@ -10,5 +10,6 @@ QUERIES = {
     "op3_personal_data": (pii.op3_personal_data, None),
     "op7_hilbert_shards": (sharding.op7_hilbert_shards, None),
     "op8_ngram_jaccard_join": (jaccard.op8_ngram_jaccard_join, jaccard.OP8_SQL),
+    "op9_embedding_near_dedup": (vectors.op9_embedding_near_dedup, vectors.OP9_SQL),
     "op10_substring_dedup": (substrings.op10_substring_dedup, substrings.OP10_SQL),
 }
