@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from courtflow.llm import jaccard, licenses, packing, pii, sharding, substrings, vectors
+from courtflow.llm import (
+    decontamination,
+    jaccard,
+    language,
+    licenses,
+    packing,
+    pii,
+    sharding,
+    substrings,
+    toxicity,
+    vectors,
+)
 
 QUERIES = {
     "op1_license_scan": (licenses.op1_license_scan, None),
     "op2_sum_of_squares_packing": (packing.op2_sum_of_squares_packing, None),
     "op3_personal_data": (pii.op3_personal_data, None),
+    "op4_toxicity": (toxicity.op4_toxicity, None),
+    "op5_language_identification": (language.op5_language_identification, None),
+    "op6_benchmark_decontamination": (decontamination.op6_benchmark_decontamination, None),
     "op7_hilbert_shards": (sharding.op7_hilbert_shards, None),
     "op8_ngram_jaccard_join": (jaccard.op8_ngram_jaccard_join, jaccard.OP8_SQL),
     "op9_embedding_near_dedup": (vectors.op9_embedding_near_dedup, vectors.OP9_SQL),
