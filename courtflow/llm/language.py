@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtflow.llm.common import map_slices, table
 from courtflow.llm.words import LOWER, raw
@@ -242,8 +243,7 @@ def with_language(docs: DataFrame, model: Model, name: str = "lang_pred") -> Dat
         label, _ = shared.value.predict(batch.column("text"))
         return batch.append_column(name, pa.array(label, pa.string()))
 
-    schema = docs.schema.add(name, "string")
-    return map_slices(docs, run, schema)
+    return map_slices(docs, run, T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())]))
 
 
 def op5_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
