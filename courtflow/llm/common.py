@@ -20,11 +20,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Keys that are broadcast at most, 8 bytes each; more are joined by a shuffle.
+BROADCAST_KEYS = 500_000
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written once to the shared folder; survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return Scratch(df.sparkSession).stored(df, name)
+
+
+class Scratch:
+    """Tables that an operator writes to the shared folder and removes when its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = out, path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table_ in tables:
+            _, path = self.paths.pop(id(table_))
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        """df, written; the other tables, which it may read, are removed."""
+        out = self.stored(df, name)
+        self.drop(*(t for t, _ in self.paths.values() if t is not out))
+        return out
+
+
+def with_keys(df: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Semi or anti join with distinct keys: broadcast up to BROADCAST_KEYS of them, else by a shuffle."""
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return df.join(F.broadcast(keys) if few else keys, on, how)
 
 
 def map_slices(
@@ -78,7 +113,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     shared folder. A hot centre's edges are counted and compared by aggregates that combine on the
     map side, and joined, so that Spark can split them.
     """
-    links = stored(
+    scratch = Scratch(edges.sparkSession)
+    links = scratch.stored(
         edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
         .where("u is not null and v is not null and u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
@@ -88,16 +124,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         # large star: for each id, larger neighbours link to the smallest of it and its neighbours
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            "u", F.least("u", "m").alias("m")
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = scratch.stored(
+            both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(),
+            "large",
         )
-        large = (
-            both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ).where("u <> v").distinct()
-        large = stored(large, "large")
         # small star: an id and its smaller neighbours link to the smallest neighbour
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = stored(
+        small = scratch.stored(
             large.join(low, "u")
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                       F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
@@ -107,6 +141,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # a star forest: no id is both a centre and a leaf, and each leaf has one centre
         many = small.groupBy("u").count().where("count > 1").limit(1).count()
         nested = many or small.join(small.select(F.col("v").alias("u")).distinct(), "u", "left_semi").limit(1).count()
+        scratch.drop(links, large)
         links = small
         if not nested:
             break

@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtflow.llm.common import components, map_slices, stored, table
-from courtflow.llm.words import NOT_SPACE, find_words, mix, rolling, starts_of_runs
+from courtflow.llm.common import Scratch, components, map_slices, table, with_keys
+from courtflow.llm.words import NOT_SPACE, find_words, mix, rolling, slices, starts_of_runs
 
 WIDTH_BITS = 20
 CHUNK_BITS = 14
@@ -69,8 +69,6 @@ def frequencies(docs: DataFrame, n: int) -> np.ndarray:
     fields = pa.schema([("chunk", pa.int32()), ("counts", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from courtflow.llm.words import slices
-
         total = np.zeros(1 << WIDTH_BITS, np.int64)
         for batch in batches:
             for piece in slices(batch):
@@ -78,30 +76,30 @@ def frequencies(docs: DataFrame, n: int) -> np.ndarray:
         for c in range(chunks):
             part = total[c * size : (c + 1) * size]
             if part.any():
-                yield pa.record_batch([pa.array([c], pa.int32()), pa.array([part.tobytes()])], schema=fields)
+                yield pa.record_batch([pa.array([c], pa.int32()), pa.array([part.astype(np.uint32).tobytes()])], schema=fields)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for c, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[c] = sums.get(c, 0) + np.frombuffer(counts, np.int64)
+                sums[c] = sums.get(c, 0) + np.frombuffer(counts, np.uint32).astype(np.int64)
         for c, total in sums.items():
-            yield pa.record_batch([pa.array([c], pa.int32()), pa.array([total.tobytes()])], schema=fields)
+            yield pa.record_batch([pa.array([c], pa.int32()), pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()])], schema=fields)
 
     parts = (
         docs.select("text").mapInArrow(count, "chunk int, counts binary").repartition(8, "chunk")
         .mapInArrow(add, "chunk int, counts binary")
     )
-    out = np.zeros(1 << WIDTH_BITS, np.int64)
+    out = np.zeros(1 << WIDTH_BITS, np.uint32)
     for c, counts in parts.collect():  # 2^WIDTH_BITS numbers at most
-        out[c * size : (c + 1) * size] = np.frombuffer(bytes(counts), np.int64)
+        out[c * size : (c + 1) * size] = np.frombuffer(bytes(counts), np.uint32)
     return out
 
 
 def _summaries(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Size, digest, bitmap and rare-first prefix of each row's set."""
     spark = docs.sparkSession
-    common = spark.sparkContext.broadcast(np.minimum(frequencies(docs, n), 2**32 - 1).astype(np.uint32))
+    common = spark.sparkContext.broadcast(frequencies(docs, n))
     fields = pa.schema([
         ("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
         ("bits", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())),
@@ -129,9 +127,7 @@ def _summaries(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         ], schema=fields)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
-    return stored(map_slices(
-        rows, run, "doc_id long, th long, n long, h1 long, h2 long, bits array<long>, prefix array<long>"
-    ), "sets")
+    return map_slices(rows, run, "doc_id long, th long, n long, h1 long, h2 long, bits array<long>, prefix array<long>")
 
 
 def _differing(a: str, b: str) -> Column:
@@ -147,10 +143,10 @@ def _may_link(a: str, b: str, num: int, den: int) -> Column:
     )
 
 
-def _links(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def _links(scratch: Scratch, pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity; each is verified once."""
-    pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    pairs = scratch.stored(pairs, "pairs")
+    wanted = scratch.stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
     fields = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -159,8 +155,9 @@ def _links(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> Dat
             [hashes[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)], pa.binary())], schema=fields)
 
     # several texts of one doc_id would be one document; the first by text stands for it
-    texts = docs.select("doc_id", "text").where("text is not null").join(wanted, "doc_id", "left_semi")
-    whole = stored(map_slices(texts, sets, "id long, shingles binary").groupBy("id").agg(F.min("shingles").alias("shingles")), "shingles")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
+    texts = with_keys(texts, wanted, ["doc_id"], "left_semi")
+    whole = scratch.stored(map_slices(texts, sets, "id long, shingles binary").groupBy("id").agg(F.min("shingles").alias("shingles")), "shingles")
 
     def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
@@ -172,22 +169,25 @@ def _links(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> Dat
 
     left = whole.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = whole.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    return stored(map_slices(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), verify,
-                             "a long, b long", column="x"), "links")
+    links = scratch.stored(map_slices(
+        pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), verify, "a long, b long", column="x"), "links")
+    scratch.drop(pairs, wanted, whole)
+    return links
 
 
 def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """doc_id, th (a hash of the text), n_shingles and component_id of each row, for similarity num / den."""
-    rows = _summaries(docs, n, num, den)
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.stored(_summaries(docs, n, num, den), "sets")
     known = rows.where("doc_id is not null and n > 0")
     classes = known.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"))
     members = known.select("doc_id", "th", "n", "h1", "h2").distinct().join(classes, ["n", "h1", "h2"]).select("doc_id", "th", "id")
-    reps = stored(
+    reps = scratch.stored(
         known.join(classes.withColumnRenamed("id", "doc_id"), ["doc_id", "n", "h1", "h2"], "left_semi")
         .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n", "bits", "prefix"), "classes")
     tokens = reps.select("id", "n", F.posexplode("prefix").alias("place", "t"))
     shared = tokens.groupBy("t").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head < tail")
-    posts = stored(tokens.join(shared.select("t", "head"), "t"), "posts")
+    posts = scratch.stored(tokens.join(shared.select("t", "head"), "t"), "posts")
 
     # every class with the smallest of each of its shingles
     facts = reps.select("id", "n", "bits")
@@ -195,13 +195,13 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> D
     one = facts.select(F.col("id").alias("a"), F.struct("n", "bits").alias("x"))
     two = facts.select(F.col("id").alias("b"), F.struct("n", "bits").alias("y"))
     heads = heads.join(one, "a").join(two, "b").where(_may_link("x", "y", num, den)).select("a", "b")
-    first = _links(heads, docs, n, num, den)
-    found = stored(components(first), "components")
+    first = _links(scratch, heads, docs, n, num, den)
+    found = components(first)
 
     # classes that share a shingle but no component
     labelled = posts.join(found, "id", "left").withColumn("c", F.coalesce("component_id", "id")).select("t", "id", "place", "c")
     mixed = labelled.groupBy("t").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("t")
-    left_over = stored(labelled.join(mixed, "t", "left_semi").join(facts, "id"), "mixed")
+    left_over = scratch.stored(labelled.join(mixed, "t", "left_semi").join(facts, "id"), "mixed")
     x, y = left_over.alias("x"), left_over.alias("y")
     room = F.least(F.col("x.place"), F.col("y.place")) + 1 + F.least(
         F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) - 1
@@ -211,15 +211,17 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> D
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    second = _links(rest, docs, n, num, den)
+    second = _links(scratch, rest, docs, n, num, den)
+    scratch.drop(left_over, posts)
     groups = components(first.unionByName(second))
     placed = members.join(groups, "id", "left").select(
         "doc_id", "th", F.coalesce("component_id", "id").alias("component_id"))
-    return (
+    out = (
         rows.select("doc_id", "th", F.col("n").alias("n_shingles"))
         .join(placed.groupBy("doc_id", "th").agg(F.min("component_id").alias("component_id")), ["doc_id", "th"], "left")
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
     )
+    return scratch.result(out, "groups")
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

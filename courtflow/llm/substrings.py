@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtflow.llm.common import map_slices, stored, table
+from courtflow.llm.common import Scratch, map_slices, table, with_keys
 from courtflow.llm.words import NOT_SPACE, Words, find_words, mix, rolling, starts_of_runs
 
 WINDOW = 50
@@ -91,8 +91,8 @@ def _summaries(docs: DataFrame, window: int) -> DataFrame:
             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(anchor.view(np.int64))),
         ], schema=fields)
 
-    return stored(map_slices(_keyed(docs), run, (
-        "doc_id long, th long, n_words long, h1 long, h2 long, kept_sha256 string, anchors array<long>")), "anchors")
+    return map_slices(_keyed(docs), run, (
+        "doc_id long, th long, n_words long, h1 long, h2 long, kept_sha256 string, anchors array<long>"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -104,21 +104,25 @@ def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Factors of neighbouring runs overlap by window - 1 words. Copies as a whole are one factor.
     """
-    rows = _summaries(docs, window)
-    return _factors(docs, rows, window)[0]
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.stored(_summaries(docs, window), "anchors")
+    return scratch.result(_factors(scratch, docs, rows, window)[0], "factors")
 
 
-def _factors(docs: DataFrame, rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _factors(scratch: Scratch, docs: DataFrame, rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     long_ = rows.where(f"doc_id is not null and n_words >= {window}")
     classes = long_.groupBy("n_words", "h1", "h2").agg(F.min("doc_id").alias("rep"))
     placed = long_.drop("anchors").join(classes, ["n_words", "h1", "h2"])
-    copies = stored(placed.where("doc_id > rep").select("doc_id", "th", "n_words", "rep").distinct(), "copies")
+    copies = scratch.stored(placed.where("doc_id > rep").select("doc_id", "th", "n_words", "rep").distinct(), "copies")
     first = long_.join(copies.select("doc_id", "th"), ["doc_id", "th"], "left_anti")
 
     points = first.select("doc_id", "th", F.explode("anchors").alias("anchor"))
     shared = points.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
     per_doc = points.join(shared, "anchor", "left_semi").groupBy("doc_id", "th").agg(F.collect_set("anchor").alias("anchors"))
-    texts = stored(_keyed(docs).join(per_doc, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]), "sharing")
+    per_doc = scratch.stored(per_doc, "shared")
+    # the few texts that share an anchor are cut out first, then given their anchors
+    near = with_keys(_keyed(docs), per_doc.select("doc_id").distinct(), ["doc_id"], "left_semi")
+    texts = scratch.stored(near.join(per_doc, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]), "sharing")
 
     fields = pa.schema([(c, pa.int64()) for c in ("doc_id", "th", "at", "w1", "w2")])
 
@@ -139,11 +143,11 @@ def _factors(docs: DataFrame, rows: DataFrame, window: int) -> tuple[DataFrame,
             take("doc_id"), take("th"), pa.array(at - words.first[text], pa.int64()), pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)),
         ], schema=fields)
 
-    windows = stored(map_slices(texts, index, "doc_id long, th long, at long, w1 long, w2 long"), "windows")
+    windows = scratch.stored(map_slices(texts, index, "doc_id long, th long, at long, w1 long, w2 long"), "windows")
     holders = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("ref"), F.max("doc_id").alias("last")).where("ref < last").drop("last")
     found = windows.join(holders, ["w1", "w2"]).where("ref < doc_id").groupBy("doc_id", "th").agg(
         F.array_sort(F.collect_list(F.struct("at", "ref"))).alias("hits"))
-    found = stored(found, "hits")
+    found = scratch.stored(found, "hits")
 
     def runs(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns: list[list] = [[], [], [], [], []]
@@ -159,13 +163,15 @@ def _factors(docs: DataFrame, rows: DataFrame, window: int) -> tuple[DataFrame,
 
     parts = map_slices(found, runs, "doc_id long, th long, first_word long, n_words long, ref_doc_id long", column="hits")
     whole = copies.select("doc_id", "th", F.lit(0).cast("long").alias("first_word"), "n_words", F.col("rep").alias("ref_doc_id"))
-    return parts.unionByName(whole), stored(parts, "factors"), texts.select("doc_id", "th", "text")
+    scratch.drop(windows, per_doc)
+    return parts.unionByName(whole), scratch.stored(parts, "factors"), texts.select("doc_id", "th", "text")
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of each row."""
-    rows = _summaries(docs, window)
-    _, parts, texts = _factors(docs, rows, window)
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.stored(_summaries(docs, window), "anchors")
+    _, parts, texts = _factors(scratch, docs, rows, window)
     spans = parts.groupBy("doc_id", "th").agg(F.collect_list(F.struct("first_word", "n_words")).alias("spans"))
     fields = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("removed", pa.int64()), ("sha", pa.string())])
 
@@ -187,11 +193,11 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     nothing = hashlib.sha256(b"").hexdigest()
     out = rows.drop("anchors").join(changed, ["doc_id", "th"], "left").join(copies, ["n_words", "h1", "h2"], "left")
     copy = F.coalesce(F.col("rep") < F.col("doc_id"), F.lit(False))
-    return out.select(
+    return scratch.result(out.select(
         "doc_id", "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, nothing).otherwise(F.coalesce("sha", "kept_sha256")).alias("kept_sha256"),
-    )
+    ), "kept")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

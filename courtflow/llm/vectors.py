@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtflow.llm.common import components, map_slices, stored, table
+from courtflow.llm.common import Scratch, components, map_slices, table
 
 SAMPLE = 16_384
 SUBSPACES = 8
@@ -149,11 +149,12 @@ def _classes(vectors: DataFrame) -> DataFrame:
 def near_duplicates(rows: DataFrame, similarity: float = 0.95) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row."""
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    valid = stored(_classes(rows).distinct(), "vectors")
-    classes = stored(valid.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
+    scratch = Scratch(rows.sparkSession)
+    valid = scratch.stored(_classes(rows).distinct(), "vectors")
+    classes = scratch.stored(valid.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
     # the rows of a class are equal, so any row of its smallest id that is valid has its vector
     reps = valid.join(classes, ["h1", "h2"]).where("vec_id = id").select("vec_id", "copies")
-    units = stored(
+    units = scratch.stored(
         rows.join(reps, "vec_id").where(F.expr("exists(embedding, c -> c <> 0)")).dropDuplicates(["vec_id"]), "units")
     total = units.count()
     spark = rows.sparkSession
@@ -164,7 +165,7 @@ def near_duplicates(rows: DataFrame, similarity: float = 0.95) -> DataFrame:
         vectors = sample.column(0).to_pylist()
         width = max(map(len, vectors))
         same = [v + [0.0] * (width - len(v)) for v in vectors]
-        links, counts = _met(units, fitted(_unit(same), total, similarity), similarity)
+        links, counts = _met(scratch, units, fitted(_unit(same), total, similarity), similarity)
     groups = components(links)
     found = (
         classes.join(counts, "id", "left").join(groups, "id", "left")
@@ -174,11 +175,12 @@ def near_duplicates(rows: DataFrame, similarity: float = 0.95) -> DataFrame:
     found = valid.join(found, ["h1", "h2"]).groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = rows.select("vec_id").join(found, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
                       F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+    return scratch.result(out, "kept")
 
 
-def _met(units: DataFrame, index: Index, similarity: float) -> tuple[DataFrame, DataFrame]:
+def _met(scratch: Scratch, units: DataFrame, index: Index, similarity: float) -> tuple[DataFrame, DataFrame]:
     spark = units.sparkSession
     shared = spark.sparkContext.broadcast(index)
     width = index.width
@@ -197,14 +199,14 @@ def _met(units: DataFrame, index: Index, similarity: float) -> tuple[DataFrame,
         return pa.record_batch([batch.column("vec_id"), pa.array(lists, pa.int32()), batch.column("copies"), pa.array(size, pa.int32()),
                                 pa.array(errors), pa.array([c.tobytes() for c in codes]), pa.array([v.tobytes() for v in x])], schema=member)
 
-    coded = stored(map_slices(units, encode, "id long, list int, copies long, size int, error double, code binary, vector binary", column="embedding"), "codes")
+    coded = scratch.stored(map_slices(units, encode, "id long, list int, copies long, size int, error double, code binary, vector binary", column="embedding"), "codes")
 
     def look(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = np.frombuffer(b"".join(batch.column("vector").to_pylist())).reshape(-1, width)
         who, which = shared.value.probes(x, batch.column("list").to_numpy())
         return pa.record_batch([batch.column("id").take(pa.array(who)), pa.array(which, pa.int32())], names=["id", "list"])
 
-    seen = stored(map_slices(coded.select("id", "list", "vector"), look, "id long, list int", column="vector"), "probes")
+    seen = scratch.stored(map_slices(coded.select("id", "list", "vector"), look, "id long, list int", column="vector"), "probes")
     # blocks of each list, from both counts: at most LISTS rows
     size = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("members")).join(
         seen.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("lookers")), "list")
@@ -253,7 +255,7 @@ def _met(units: DataFrame, index: Index, similarity: float) -> tuple[DataFrame,
             "to": pa.array(none + b, pa.int64()),
         })
 
-    out = stored(
+    out = scratch.stored(
         lookers.groupBy("list", "l", "m").cogroup(members.groupBy("list", "l", "m")).applyInArrow(meet, "id long, met long, to long"), "met")
     return (out.where("to is not null").select(F.col("id").alias("a"), F.col("to").alias("b")),
             out.where("met is not null").groupBy("id").agg(F.sum("met").alias("met")))
