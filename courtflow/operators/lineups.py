@@ -375,11 +375,15 @@ def with_in_play(
         .mapInArrow(_fold_slots, _FOLDED)
     )
     own = F.when(is_sub(), F.col("sequence_id"))
-    return (
-        plays.withColumn("spot", _spot(own))
-        .join(in_play, ["game_id", "spot"])
-        .select(*plays.columns, "home_in_play", "away_in_play")
-    )
+    lineup = ["home_in_play", "away_in_play"]
+    if keyed:
+        found = plays.withColumn("spot", _spot(own)).join(in_play, ["game_id", "spot"])
+        return found.select(*plays.columns, *lineup)
+    # of rows that share a key one decided what happened; all of them get its lineup
+    key = ["game_id", "sequence_id"]
+    one = one_per_key(plays, key).withColumn("spot", _spot(own))
+    found = one.join(in_play, ["game_id", "spot"]).select(*key, *lineup)
+    return plays.join(found, key).select(*plays.columns, *lineup)
 
 
 def lineup_sets(

@@ -12,16 +12,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores where a table comes in fewer splits than cores.
-
-    For work that is heavy per row on the small test files; a large table has more
-    splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 200 events make a game of four periods; event_id is unique."""
     k = F.col("k")

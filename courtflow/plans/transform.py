@@ -15,6 +15,8 @@ from courtflow.sources.documents import DocumentStore, latest_documents, parse_d
 from courtflow.sources.warehouse import Warehouse, Write
 
 INSERT, UPDATE = WriteAction.INSERT, WriteAction.UPDATE
+# fields that a document lacks leave stored values as they are
+KEEP = {"null_overwrites": False}
 # tables must hold a game or player before a later document can complete it
 ORDER = (RecordType.STANDINGS, RecordType.SCHEDULE, RecordType.GAME, RecordType.PLAYER)
 # which table tells that a document of the type needs no more reading
@@ -24,16 +26,22 @@ COMPLETED_IN = {RecordType.GAME: "Games", RecordType.PLAYER: "Players"}
 def pending(store: DocumentStore, warehouse: Warehouse, record_type: RecordType) -> DataFrame:
     """Newest documents of a type whose table row is not complete.
 
-    The same documents as those of ``discovery.pending_documents``; picking the newest
-    first leaves them partitioned by key, so payloads are shuffled once.
+    The same documents as those of ``discovery.pending_documents``. Keys and times come
+    first: the newest time of each key, without the keys that are complete, picks the
+    documents whose payloads are read; only versions of one time meet with payloads.
     """
     documents = store.documents().filter(F.col("record_type") == record_type.value)
-    newest = latest_documents(documents, ["document_key"])
     table = COMPLETED_IN.get(record_type)
     if table is None:
-        return newest
+        return latest_documents(documents, ["document_key"])
+    newest = documents.groupBy(F.col("document_key").alias("_key")).agg(
+        F.max("document_timestamp").alias("_newest")
+    )
     complete = discovery.complete_ids(warehouse.read_table(table))
-    return newest.join(complete, newest.document_key == complete.id, "left_anti")
+    wanted = newest.join(complete, newest["_key"] == complete.id, "left_anti")
+    at_newest = F.col("document_timestamp").eqNullSafe(F.col("_newest"))
+    picked = documents.join(wanted, (F.col("document_key") == F.col("_key")) & at_newest, "left_semi")
+    return latest_documents(picked, ["document_key"])
 
 
 def standings_writes(parsed: DataFrame, as_of: dt.date) -> list[Write]:
@@ -56,7 +64,7 @@ def schedule_writes(parsed: DataFrame) -> list[Write]:
 
 def game_writes(parsed: DataFrame) -> list[Write]:
     return [
-        ("Games", UPDATE, game_pages.game_updates(parsed)),
+        ("Games", UPDATE, game_pages.game_updates(parsed), KEEP),
         ("PlayTypes", INSERT, game_pages.play_types(parsed)),
         ("Players", INSERT, game_pages.players(parsed)),
         ("Plays", INSERT, game_pages.plays(parsed)),
@@ -68,7 +76,7 @@ def game_writes(parsed: DataFrame) -> list[Write]:
 
 
 def player_writes(parsed: DataFrame) -> list[Write]:
-    return [("Players", UPDATE, player_pages.player_updates(parsed))]
+    return [("Players", UPDATE, player_pages.player_updates(parsed), KEEP)]
 
 
 def _staged(parsed: DataFrame, record_type: RecordType) -> DataFrame:

@@ -20,6 +20,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # small test files in as many splits as there are cores
+        .config("spark.sql.files.minPartitionNum", str(shuffle_partitions))
         # call sites of Column functions cost more than building the plan
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
@@ -29,10 +31,13 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session without the setting (tests) gets one of its own.
+    Only a local session without the setting, as in tests, gets one of its own; on a
+    cluster a machine's own folder would lose rows.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="courtflow-")
         spark.conf.set(CHECKPOINT_DIR, folder)
     return folder

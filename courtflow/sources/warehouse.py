@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from courtflow.operators.writes import (
     WriteAction,
-    affected_rows,
     drop_null_keys,
     rows_to_insert,
     union_rows,
@@ -33,7 +32,9 @@ _REJECTS_DDL = "name STRING, reject_reason STRING, row STRING"
 # tables written at the same time, so that small ones need not wait for large ones
 TABLES_AT_ONCE = 4
 
-Write = tuple[str, WriteAction, DataFrame]
+# a table's name, an action, rows, and for updates how they are made, by the names of
+# ``fill_update``'s arguments
+Write = tuple[str, WriteAction, DataFrame] | tuple[str, WriteAction, DataFrame, dict]
 Rows = dict[tuple[str, WriteAction], int]
 
 
@@ -83,8 +84,10 @@ class Warehouse:
         the table go to the rejects, the others are written.
         """
         grouped: dict[str, dict[WriteAction, list[DataFrame]]] = {}
-        for name, action, frame in writes:
+        rules: dict[tuple[str, WriteAction], dict] = {}
+        for name, action, frame, *rule in writes:
             grouped.setdefault(name, {}).setdefault(action, []).append(frame)
+            rules.setdefault((name, action), {}).update(*rule)
 
         version, tables = self._current()
         rows: Rows = {}
@@ -92,7 +95,7 @@ class Warehouse:
         def write_table(name: str) -> None:
             for action, frames in grouped[name].items():
                 tables[name], rows[name, action] = self._write(
-                    TABLES[name], action, union_rows(frames), tables[name]
+                    TABLES[name], action, union_rows(frames), tables[name], rules[name, action]
                 )
 
         with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
@@ -102,17 +105,23 @@ class Warehouse:
 
     @staticmethod
     def total_rows(rows: Rows) -> int:
-        return affected_rows(list(rows.values()))
+        return sum(rows.values())
 
     def _write(
-        self, spec: TableSpec, action: WriteAction, frame: DataFrame, paths: list[str]
+        self, spec: TableSpec, action: WriteAction, frame: DataFrame, paths: list[str], rule: dict
     ) -> tuple[list[str], int]:
         target = self._read(spec, paths)
         frame = frame.select(*[c for c in frame.columns if c in spec.columns])
         path = f"{self.root}/tables/{spec.name}/{uuid.uuid4().hex}"
         if action is WriteAction.UPDATE:
             # an update brings some columns only, so only its key can be judged
-            after = with_fill_update(target, drop_null_keys(frame, spec), spec)
+            after = with_fill_update(target, drop_null_keys(frame, spec), spec, **rule)
+            unkeyed = F.lit(False)
+            for key in spec.primary_key:
+                unkeyed = unkeyed | F.col(key).isNull()
+            bad = frame.filter(unkeyed).withColumn("reject_reason", F.lit("null key"))
+            if bad.limit(1).count():
+                self._reject(spec, bad)
             return [path], self._save(spec, after, path)
 
         checked = with_reject_reason(frame, spec)
@@ -124,10 +133,11 @@ class Warehouse:
             .drop("reject_reason")
         )
         if action is WriteAction.INSERT:
-            paths = [*paths, path]
             self._save(spec, rows_to_insert(target, valid, spec), path)
             # from the files' footers: exact even if a lost task ran twice
             n = self._read(spec, [path]).count()
+            # nothing new, nothing to list
+            paths = [*paths, path] if n else paths
         else:
             paths = [path]
             n = self._save(spec, with_upsert(target, valid, spec), path)
@@ -173,7 +183,9 @@ class Warehouse:
         )
 
     def _current(self) -> tuple[int, dict[str, list[str]]]:
-        versions = self.spark.read.schema(_VERSION_DDL).json(f"{self.root}/versions/*")
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/versions")
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        newest = max(int(f.getPath().getName().removeprefix("v=")) for f in files.listStatus(root))
         # one row of directory names per table
-        rows = versions.orderBy(F.col("version").desc()).limit(len(TABLES)).collect()
-        return rows[0]["version"], {row["name"]: list(row["paths"]) for row in rows}
+        rows = self.spark.read.schema(_VERSION_DDL).json(f"{self.root}/versions/v={newest}").collect()
+        return newest, {row["name"]: list(row["paths"]) for row in rows}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -54,15 +55,24 @@ def ingest_stream(
 
     Seen keys live in the manifest, not in stream state, so a restart loses nothing
     and nothing grows without bound. ``available_now`` ends after what has landed.
+
+    A load is named after the query's id, which the checkpoint keeps over restarts, and the
+    batch: a batch that is run again replaces itself, and a stream with a checkpoint of
+    its own adds to what others stored.
     """
+    started, query_id = threading.Event(), []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, store, as_of, f"{name}-{batch_id}")
+        started.wait()
+        ingest_batch(batch, store, as_of, f"{name}-{query_id[0]}-{batch_id}")
 
     trigger = {"availableNow": True} if available_now else {"processingTime": FLUSH_INTERVAL}
-    return (
+    query = (
         records.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
+    query_id.append(query.id)
+    started.set()
+    return query

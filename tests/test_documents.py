@@ -354,3 +354,12 @@ def test_transform(spark, tmp_path, store):
     assert all(n == 0 for per_type in again.values() for n in per_type.values())
     after = {t: sorted(map(str, tuples(warehouse.read_table(t)))) for t in before}
     assert before == after
+
+
+def test_a_second_stream_adds_to_the_store(spark, tmp_path, store):
+    for day, key in (("one", "11"), ("two", "12")):
+        landing = str(tmp_path / day)
+        documents(spark, (key, "game", GAME)).write.json(landing)
+        ingest_stream(landed_records(spark, landing), store, AS_OF, str(tmp_path / f"cp-{day}"),
+                      available_now=True).awaitTermination()
+    assert sorted(r.document_key for r in store.documents().collect()) == ["11", "12"]

@@ -268,3 +268,16 @@ def test_sort_plays_puts_nulls_first(spark):
     assert places == {2: 1, 3: 2, 1: 3}
     dated = p.withColumn("datetime", F.when(F.col("sequence_id") == 1, F.lit(1)).otherwise(F.lit(2)))
     assert [r.sequence_id for r in ordering.sort_plays(dated, True).collect()] == [1, 2, 3]
+
+
+def test_rows_of_one_key_all_get_its_lineup(spark):
+    plays = [
+        play(1, SHOT, 7, 1, 10, 0),
+        play(2, SUB, 8, 1, 5, 0),
+        play(2, SHOT, 9, 1, 5, 0),  # the same key, another type
+        play(3, SHOT, 7, 1, 4, 0),
+    ]
+    p, logs, games = frames(spark, plays, [(1, 7, True)], [(1, HOME)])
+    found = lineups.with_in_play(p, logs, games).collect()
+    assert sorted(r.sequence_id for r in found) == [1, 2, 2, 3]
+    assert len({tuple(r.home_in_play) for r in found if r.sequence_id == 2}) == 1

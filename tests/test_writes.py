@@ -82,11 +82,6 @@ def test_one_per_key_is_repeatable_for_a_hot_key(spark):
     assert a == b and len(a) == 1 and a[0].v == 0
 
 
-def test_affected_rows():
-    assert writes.affected_rows([3, -1, 2]) == 5
-    assert writes.affected_rows(-7) == -1 and writes.affected_rows(4) == 4
-
-
 @pytest.fixture
 def warehouse(spark, tmp_path):
     return Warehouse(spark, str(tmp_path / "w")).create_tables()
@@ -135,3 +130,30 @@ def test_erase(spark, warehouse):
     assert warehouse.create_tables().read_table("Venues").count() == 1
     assert warehouse.create_tables(erase=True).read_table("Venues").count() == 0
     assert warehouse.read_table("Venues").schema == VENUES.schema and TEAMS.primary_key == ("id",)
+
+
+def test_update_keeps_what_its_document_lacked_and_rejects_null_keys(spark, warehouse):
+    warehouse.write_batch([("Teams", INSERT, spark.createDataFrame([(7, "L")], "id bigint, location string"))])
+    change = spark.createDataFrame(
+        [(7, "m", None), (None, "n", "x")], "id bigint, mascot string, location string")
+    warehouse.write_batch([("Teams", UPDATE, change, {"null_overwrites": False})])
+    assert rows(warehouse.read_table("Teams").select("id", "location", "mascot")) == [(7, "L", "m")]
+    assert [r.mascot for r in warehouse.rejects("Teams").collect()] == ["n"]
+
+
+def test_a_batch_without_new_rows_lists_nothing(spark, warehouse):
+    batch = [("Venues", INSERT, venues(spark, (1, "a")))]
+    warehouse.write_batch(batch)
+    before = warehouse._current()[1]
+    warehouse.write_batch(batch)
+    assert warehouse._current()[1] == before
+
+
+def test_no_folder_of_one_machine_on_a_cluster():
+    from types import SimpleNamespace
+
+    from courtflow.session import shared_folder
+
+    conf = SimpleNamespace(get=lambda key, default=None: None)
+    with pytest.raises(ValueError, match="share"):
+        shared_folder(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host")))
