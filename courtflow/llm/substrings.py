@@ -116,13 +116,13 @@ def _factors(scratch: Scratch, docs: DataFrame, rows: DataFrame, window: int) ->
     copies = scratch.stored(placed.where("doc_id > rep").select("doc_id", "th", "n_words", "rep").distinct(), "copies")
     first = long_.join(copies.select("doc_id", "th"), ["doc_id", "th"], "left_anti")
 
-    points = first.select("doc_id", "th", F.explode("anchors").alias("anchor"))
+    points = first.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = points.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
-    per_doc = points.join(shared, "anchor", "left_semi").groupBy("doc_id", "th").agg(F.collect_set("anchor").alias("anchors"))
+    per_doc = points.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     per_doc = scratch.stored(per_doc, "shared")
     # the few texts that share an anchor are cut out first, then given their anchors
-    near = with_keys(_keyed(docs), per_doc.select("doc_id").distinct(), ["doc_id"], "left_semi")
-    texts = scratch.stored(near.join(per_doc, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]), "sharing")
+    near = with_keys(_keyed(docs), per_doc.select("doc_id"), ["doc_id"], "left_semi")
+    texts = scratch.stored(near.join(per_doc, "doc_id").dropDuplicates(["doc_id", "th"]), "sharing")
 
     fields = pa.schema([(c, pa.int64()) for c in ("doc_id", "th", "at", "w1", "w2")])
 
@@ -143,7 +143,8 @@ def _factors(scratch: Scratch, docs: DataFrame, rows: DataFrame, window: int) ->
             take("doc_id"), take("th"), pa.array(at - words.first[text], pa.int64()), pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)),
         ], schema=fields)
 
-    windows = scratch.stored(map_slices(texts, index, "doc_id long, th long, at long, w1 long, w2 long"), "windows")
+    # made twice from the few texts rather than stored: there are more windows than words of text
+    windows = map_slices(texts, index, "doc_id long, th long, at long, w1 long, w2 long")
     holders = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("ref"), F.max("doc_id").alias("last")).where("ref < last").drop("last")
     found = windows.join(holders, ["w1", "w2"]).where("ref < doc_id").groupBy("doc_id", "th").agg(
         F.array_sort(F.collect_list(F.struct("at", "ref"))).alias("hits"))
@@ -163,7 +164,7 @@ def _factors(scratch: Scratch, docs: DataFrame, rows: DataFrame, window: int) ->
 
     parts = map_slices(found, runs, "doc_id long, th long, first_word long, n_words long, ref_doc_id long", column="hits")
     whole = copies.select("doc_id", "th", F.lit(0).cast("long").alias("first_word"), "n_words", F.col("rep").alias("ref_doc_id"))
-    scratch.drop(windows, per_doc)
+    scratch.drop(per_doc)
     return parts.unionByName(whole), scratch.stored(parts, "factors"), texts.select("doc_id", "th", "text")
 
 

@@ -144,7 +144,7 @@ def label_model(n: int, both: np.ndarray, toxic_share: float) -> LabelModel:
                 z[i] = max(0.0, (cov[i, used[i]] * z[used[i]]).sum() / down) if down > 0 else 0.0
         off = np.where(used, cov - np.outer(z, z), 0)
         i, j = np.unravel_index(int((off / noise).argmax()), off.shape)
-        if off[i, j] < 6 * noise[i, j] or off[i, j] < 0.5 * cov[i, j] or min(used[i].sum(), used[j].sum()) <= 2:
+        if off[i, j] < 6 * noise[i, j] or off[i, j] < 0.2 * cov[i, j] or min(used[i].sum(), used[j].sum()) <= 2:
             break
         used[i, j] = used[j, i] = False
         pairs.append((int(min(i, j)), int(max(i, j))))
