@@ -157,7 +157,11 @@ def _links(scratch: Scratch, pairs: DataFrame, docs: DataFrame, n: int, num: int
     # several texts of one doc_id would be one document; the first by text stands for it
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
     texts = with_keys(texts, wanted, ["doc_id"], "left_semi")
-    whole = scratch.stored(map_slices(texts, sets, "id long, shingles binary").groupBy("id").agg(F.min("shingles").alias("shingles")), "shingles")
+    whole = scratch.stored(map_slices(texts, sets, "id long, shingles binary"), "shingles")
+    if whole.count() > wanted.count():  # rows of one doc_id
+        several = whole
+        whole = scratch.stored(several.groupBy("id").agg(F.min("shingles").alias("shingles")), "shingles")
+        scratch.drop(several)
 
     def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []

@@ -3,8 +3,8 @@
 Many voters look at a text: the words of a given list, words and word beginnings that training
 labels speak for, and patterns of shape. Each votes `toxic` or stays silent. A generative label model takes the voters'
 rates and their joint rates over all documents, a table of bounded size, and fits one number for each voter
-so that products of two numbers meet the covariances; pairs that the fit leaves far off are
-correlated and are left out when it is repeated, and their voters then share their weight. From
+so that products of two numbers meet the covariances; pairs far above what their covariances with
+third voters say are correlated and left out of the fit, and their voters share their weight. From
 these numbers follow each voter's rates among toxic and clean documents, and a posterior for any set of
 votes. A linear classifier over the words and word beginnings that a text has is then trained on posterior labels, not
 on given ones; its scores are mapped by the training labels so that 0.7 is a sensible cut.
@@ -125,8 +125,8 @@ def label_model(n: int, both: np.ndarray, toxic_share: float) -> LabelModel:
 
     Given the label, voters are independent but for the pairs found correlated. A vote's covariance
     with another's is then the product of one number of each; the numbers come from alternating
-    least squares. Pairs that shun each other beyond chance, as words of two languages do, are left
-    out at the start, and those far above the fit one after the other.
+    least squares. Left out are pairs that shun each other beyond chance, as words of two languages
+    do, and correlated ones: their covariance is far above what those with third voters say.
     """
     n = max(n, 1)
     m = len(both)
@@ -136,18 +136,24 @@ def label_model(n: int, both: np.ndarray, toxic_share: float) -> LabelModel:
     noise = np.sqrt(np.maximum(np.outer(rate, rate), 1 / n) / n)
     used = ~np.eye(m, dtype=bool) & (rate > 0)[:, None] & (rate > 0)[None] & (cov > -noise)
     pairs: list[tuple[int, int]] = []
-    z = np.sqrt(np.maximum(rate * p, 1e-12))
-    for sweeps in [200] + [20] * m:
-        for _ in range(sweeps):
-            for i in range(m):
-                down = (z[used[i]] ** 2).sum()
-                z[i] = max(0.0, (cov[i, used[i]] * z[used[i]]).sum() / down) if down > 0 else 0.0
-        off = np.where(used, cov - np.outer(z, z), 0)
-        i, j = np.unravel_index(int((off / noise).argmax()), off.shape)
-        if off[i, j] < 6 * noise[i, j] or off[i, j] < 0.2 * cov[i, j] or min(used[i].sum(), used[j].sum()) <= 2:
-            break
+    for i in range(m):
+        for j in range(i + 1, m):
+            if used[i, j]:
+                # the covariance that others say the two should have, from each k and l
+                k, l = np.flatnonzero(used[i]), np.flatnonzero(used[j])
+                k, l = k[k != j], l[l != i]
+                both_used = used[np.ix_(k, l)] & (cov[np.ix_(k, l)] > 3 * noise[np.ix_(k, l)])
+                if both_used.sum() >= 3:
+                    told = (np.outer(cov[i, k], cov[j, l])[both_used] / cov[np.ix_(k, l)][both_used])
+                    if cov[i, j] > 1.5 * np.median(told) + 6 * noise[i, j]:
+                        pairs.append((i, j))
+    for i, j in pairs:
         used[i, j] = used[j, i] = False
-        pairs.append((int(min(i, j)), int(max(i, j))))
+    z = np.sqrt(np.maximum(rate * p, 1e-12))
+    for _ in range(200):
+        for i in range(m):
+            down = (z[used[i]] ** 2).sum()
+            z[i] = max(0.0, (cov[i, used[i]] * z[used[i]]).sum() / down) if down > 0 else 0.0
     gap = z / np.sqrt(p * (1 - p))
     # votes among toxic documents, of which all votes set a bound, and among clean ones
     hit = np.clip(np.minimum(rate + (1 - p) * gap, rate / p), 1e-4, 0.99)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15 | 3)
 _UNFACTOR = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
 _ODD = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
