@@ -145,10 +145,14 @@ def _factors(scratch: Scratch, docs: DataFrame, rows: DataFrame, window: int) ->
 
     # made twice from the few texts rather than stored: there are more windows than words of text
     windows = map_slices(texts, index, "doc_id long, th long, at long, w1 long, w2 long")
-    holders = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("ref"), F.max("doc_id").alias("last")).where("ref < last").drop("last")
+    # stored, so that the join's sides come by shuffles alone and Spark can split a passage that many documents hold
+    holders = scratch.stored(
+        windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("ref"), F.max("doc_id").alias("last")).where("ref < last").drop("last"),
+        "holders")
     found = windows.join(holders, ["w1", "w2"]).where("ref < doc_id").groupBy("doc_id", "th").agg(
         F.array_sort(F.collect_list(F.struct("at", "ref"))).alias("hits"))
     found = scratch.stored(found, "hits")
+    scratch.drop(holders)
 
     def runs(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns: list[list] = [[], [], [], [], []]
