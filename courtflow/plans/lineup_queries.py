@@ -235,6 +235,45 @@ SELECT p.game_id, p.sequence_id,
 FROM plays p LEFT JOIN on_court o USING (game_id, sequence_id)
 GROUP BY p.game_id, p.sequence_id"""
 
+
+
+def _others_twice(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Plays, those that are no substitutions twice, and game logs.
+
+    Starts and finishes count the substitutions as given, so these stay unique.
+    """
+    plays = fixtures.plays(spark, sf_dir)
+    return plays.unionByName(plays.filter(lineups.is_other())), fixtures.game_logs(spark, sf_dir)
+
+
+def sub_index_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _booked(lineups.with_sub_index(*_others_twice(spark, sf_dir)), "sub_index")
+
+
+def sub_durations_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineups.with_sub_durations(*_others_twice(spark, sf_dir)).select(
+        "game_id", "sequence_id", "player_id", "sub_index",
+        F.round("sub_duration", 6).alias("sub_duration"),
+    )
+
+
+def game_minutes_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    minutes = lineups.game_minutes(*_others_twice(spark, sf_dir))
+    return minutes.select("game_id", "player_id", F.round("minutes", 6).alias("minutes"))
+
+
+def in_play_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every play twice: lineups come back for each of the rows given, so for both of a key."""
+    plays, logs = fixtures.plays(spark, sf_dir), fixtures.game_logs(spark, sf_dir)
+    games = fixtures.games(spark, sf_dir)
+    return lineups.with_in_play(plays.unionByName(plays), logs, games).select(
+        "game_id", "sequence_id", "play_type_id", "player_id",
+        _text("home_in_play"), _text("away_in_play"),
+    )
+
+
+IN_PLAY_UNKEYED = f"SELECT l.* FROM ({IN_PLAY}) l, (VALUES (1), (2)) twice"
+
 QUERIES = {
     "sort_plays": (sort_plays, SORT_PLAYS),
     "period_minutes": (period_minutes, PERIOD_MINUTES),
@@ -246,4 +285,8 @@ QUERIES = {
     "game_minutes": (game_minutes, GAME_MINUTES),
     "lineups": (in_play, IN_PLAY),
     "lineup_sets": (lineup_sets, LINEUP_SETS),
+    "sub_index_unkeyed": (sub_index_unkeyed, SUB_INDEX),
+    "sub_durations_unkeyed": (sub_durations_unkeyed, SUB_DURATIONS),
+    "game_minutes_unkeyed": (game_minutes_unkeyed, GAME_MINUTES),
+    "lineups_unkeyed": (in_play_unkeyed, IN_PLAY_UNKEYED),
 }
