@@ -69,11 +69,6 @@ def complete_ids(table: DataFrame) -> DataFrame:
     return table.filter(complete).select(F.col("id").cast("string").alias("id"))
 
 
-def no_complete_ids(documents: DataFrame) -> DataFrame:
-    """For record types whose documents are always read again."""
-    return documents.select(F.col("document_key").alias("id")).limit(0)
-
-
 def pending_documents(
     documents: DataFrame, complete: DataFrame, record_type: RecordType
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from courtflow.functions.seasons import season_of
 from courtflow.functions.values import matched, part, safe_int, safe_timestamp
-from courtflow.operators.keyed import one_per_key
+from courtflow.operators.keyed import carried, distinct_rows, one_per_key
 from courtflow.operators.records import raw_key
 from courtflow.schemas import RecordType
 
@@ -35,10 +35,13 @@ def _game_id() -> Column:
 def game_updates(parsed: DataFrame) -> DataFrame:
     """What the game page adds to a game; complete once attendance is known."""
     attendance = F.col("parsed.gameInfo.attendance")
+    age = carried(parsed)
     return parsed.select(
+        *age,
         F.explode("parsed.header.competitions").alias("game"),
         attendance.alias("attendance"),
     ).select(
+        *age,
         safe_int(F.col("game.id")).alias("id"),
         F.col("game.neutralSite").alias("is_neutral_site"),
         F.col("game.conferenceCompetition").alias("is_conference"),
@@ -57,9 +60,11 @@ def plays_flat(parsed: DataFrame) -> DataFrame:
 
     involved = F.col("play.participants")
     clock = F.col("play.clock.displayValue")
+    age = carried(parsed)
     return parsed.select(
-        _game_id().alias("game_id"), F.explode("parsed.plays").alias("play")
+        *age, _game_id().alias("game_id"), F.explode("parsed.plays").alias("play")
     ).select(
+        *age,
         "game_id",
         safe_int(F.col("play.sequenceNumber")).alias("sequence_id"),
         "play.text",
@@ -87,17 +92,18 @@ def plays_flat(parsed: DataFrame) -> DataFrame:
 
 def play_types(parsed: DataFrame) -> DataFrame:
     types = plays_flat(parsed).select(
+        *carried(parsed),
         F.col("play_type_id").alias("id"),
         F.col("play_type_text").alias("description"),
         "is_shot",
     )
     # few distinct rows remain on the map side
-    return one_per_key(types.distinct(), ["id"])
+    return one_per_key(distinct_rows(types), ["id"])
 
 
 def plays(parsed: DataFrame) -> DataFrame:
     return plays_flat(parsed).select(
-        "game_id", "sequence_id", "play_type_id", "points_attempted", "is_score",
+        *carried(parsed), "game_id", "sequence_id", "play_type_id", "points_attempted", "is_score",
         "team_id", "player_id", "assist_id", "period", "clock_minutes",
         "clock_seconds", "home_score", "away_score", "x_coord", "y_coord", "timestamp",
     )
@@ -123,11 +129,14 @@ def box_rows(parsed: DataFrame) -> DataFrame:
     season = season_of(
         safe_timestamp(F.get("parsed.header.competitions", F.lit(0))["date"])
     )
+    age = carried(parsed)
     teams = parsed.select(
+        *age,
         _game_id().alias("game_id"),
         season.cast("bigint").alias("season"),
         F.explode("parsed.boxscore.players").alias("box"),
     ).select(
+        *age,
         "game_id",
         "season",
         F.when(F.col("box.team.id").isNull(), F.lit(NO_TEAM))
@@ -159,12 +168,14 @@ def box_rows(parsed: DataFrame) -> DataFrame:
     ).when(last.isNotNull(), full)
     return (
         teams.select(
+            *age,
             entry.alias("of"),
             F.col("table.names").alias("names"),
             F.explode(F.concat(named, totals)).alias("row"),
         )
-        .select("of.*", "names", "row.*")
+        .select(*age, "of.*", "names", "row.*")
         .select(
+            *age,
             "game_id",
             "season",
             "team_id",
@@ -189,6 +200,7 @@ def _athletes(parsed: DataFrame) -> DataFrame:
 def players(parsed: DataFrame) -> DataFrame:
     """Players; completed later, from the player document."""
     return _athletes(parsed).select(
+        *carried(parsed),
         F.col("player_id").alias("id"),
         "first_name",
         "last_name",
@@ -198,7 +210,9 @@ def players(parsed: DataFrame) -> DataFrame:
 
 
 def player_seasons(parsed: DataFrame) -> DataFrame:
-    return _athletes(parsed).select("player_id", "team_id", "season", "jersey")
+    return _athletes(parsed).select(
+        *carried(parsed), "player_id", "team_id", "season", "jersey"
+    )
 
 
 def game_logs(parsed: DataFrame) -> DataFrame:

@@ -42,8 +42,10 @@ def play_order() -> list[Column]:
 def sort_plays(plays: DataFrame, with_datetime: bool = False) -> DataFrame:
     """Globally sorted plays; windows use ``play_order`` and need no global sort."""
     lead = ["datetime"] if with_datetime else []
-    lead = order_columns((c, False) for c in [*lead, "game_id"])
-    return plays.orderBy(*lead, *play_order())
+    by = [(c, False) for c in [*lead, "game_id"]]
+    by += [(c, c != "period") for c in READING]
+    by += [(c, False) for c in ("home_score", "away_score", "sequence_id")]
+    return sort_by(plays, by)
 
 
 def number_plays(plays: DataFrame) -> DataFrame:

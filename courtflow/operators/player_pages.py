@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtflow.functions.values import part, safe_int
+from courtflow.operators.keyed import carried
 from courtflow.operators.records import raw_key
 from courtflow.schemas import RecordType
 
 
 def player_updates(parsed: DataFrame) -> DataFrame:
     """Height, weight and birth place, from texts like ``6' 4", 210 lbs``."""
+    age = carried(parsed)
     athlete = parsed.select(
+        *age,
         raw_key(F.col("document_key"), RecordType.PLAYER).alias("id"),
         F.col("parsed.page.content.player.plyrHdr.ath").alias("ath"),
     ).filter("ath IS NOT NULL")
@@ -20,6 +23,7 @@ def player_updates(parsed: DataFrame) -> DataFrame:
     height = F.regexp_replace(part(body, ", ", 0), r"['\"]", "")
     weight = F.replace(part(body, ", ", 1), F.lit(" lbs"), F.lit(""))
     return athlete.select(
+        *age,
         "id",
         part(birth, ", ", 0).alias("birth_city"),
         part(birth, ", ", 1).alias("birth_state"),

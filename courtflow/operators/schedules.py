@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtflow.functions.values import safe_int, safe_timestamp
-from courtflow.operators.keyed import one_per_key
+from courtflow.operators.keyed import carried, distinct_rows, one_per_key
 
 # fixed value: details of games that went to overtime read like "Final/2OT"
 OVERTIME_DETAIL = r"(.+)/\d*OT$"
@@ -14,10 +14,12 @@ OVERTIME_DETAIL = r"(.+)/\d*OT$"
 
 def schedule_events(parsed: DataFrame) -> DataFrame:
     """One row per event; events are listed by day."""
+    age = carried(parsed)
     days = parsed.select(
-        F.explode(F.map_values("parsed.page.content.events")).alias("day")
+        *age, F.explode(F.map_values("parsed.page.content.events")).alias("day")
     )
-    return days.select(F.explode("day").alias("event")).select(
+    return days.select(*age, F.explode("day").alias("event")).select(
+        *age,
         safe_int(F.col("event.id")).alias("id"),
         safe_timestamp(F.col("event.date")).alias("datetime"),
         "event.tbd",
@@ -32,6 +34,7 @@ def venues(parsed: DataFrame) -> DataFrame:
         schedule_events(parsed)
         .filter("venue IS NOT NULL")
         .select(
+            *carried(parsed),
             safe_int(F.col("venue.id")).alias("id"),
             F.col("venue.fullName").alias("name"),
             "venue.address.city",
@@ -46,21 +49,22 @@ def game_statuses(parsed: DataFrame) -> DataFrame:
     Insertion order means nothing to a table; sort at output where it matters.
     """
     detail = F.regexp_replace("status.detail", OVERTIME_DETAIL, "$1")
-    return (
-        schedule_events(parsed)
-        .select(
+    return distinct_rows(
+        schedule_events(parsed).select(
+            *carried(parsed),
             safe_int(F.col("status.id")).alias("id"),
             "status.state",
             detail.alias("detail"),
         )
-        .distinct()
     )
 
 
 def schedule_teams(parsed: DataFrame) -> DataFrame:
     """One row per team id."""
-    teams = schedule_events(parsed).select(F.explode("teams").alias("team"))
+    age = carried(parsed)
+    teams = schedule_events(parsed).select(*age, F.explode("teams").alias("team"))
     rows = teams.select(
+        *age,
         "team.id",
         "team.location",
         F.col("team.shortDisplayName").alias("mascot"),
@@ -78,6 +82,7 @@ def games(parsed: DataFrame) -> DataFrame:
         return safe_int(F.get("teams", F.lit(position))["id"])
 
     return schedule_events(parsed).select(
+        *carried(parsed),
         "id",
         "datetime",
         team(0).alias("home_id"),

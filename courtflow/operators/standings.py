@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from courtflow.functions.seasons import is_valid_season
 from courtflow.functions.values import excluding, safe_int
+from courtflow.operators.keyed import carried
 from courtflow.operators.records import raw_key
 from courtflow.schemas import RecordType
 
@@ -27,15 +28,17 @@ def standings_content(parsed: DataFrame, as_of: Column | dt.date) -> DataFrame:
         parsed.withColumn("season", season)
         .withColumn("content", F.col("parsed.page.content"))
         .filter(is_valid_season(F.col("season"), as_of) & F.col("content").isNotNull())
-        .select("season", "content")
+        .select(*carried(parsed), "season", "content")
     )
 
 
 def conferences(content: DataFrame) -> DataFrame:
+    age = carried(content)
     listed = content.select(
-        F.explode("content.headerscoreboard.collegeConfs").alias("conf")
+        *age, F.explode("content.headerscoreboard.collegeConfs").alias("conf")
     )
     return listed.filter(F.col("conf.name") != ALL_CONFERENCES).select(
+        *age,
         safe_int(F.col("conf.groupId")).alias("id"),
         "conf.name",
         F.col("conf.shortName").alias("abbrev"),
@@ -56,17 +59,20 @@ def _teams_of(group: Column) -> Column:
 
 def standing_teams(content: DataFrame) -> DataFrame:
     """Teams of all groups, with the group's name and the document's conferences."""
+    age = carried(content)
     groups = content.select(
+        *age,
         "season",
         F.col("content.headerscoreboard.collegeConfs").alias("confs"),
         F.explode("content.standings.groups.groups").alias("group"),
     )
     return groups.select(
+        *age,
         "season",
         F.col("group.name").alias("conference"),
         "confs",
         F.explode(_teams_of(F.col("group"))).alias("entry"),
-    ).select("season", "conference", "confs", "entry.team.*")
+    ).select(*age, "season", "conference", "confs", "entry.team.*")
 
 
 def teams_with_conference(content: DataFrame) -> DataFrame:
@@ -76,6 +82,7 @@ def teams_with_conference(content: DataFrame) -> DataFrame:
         lambda c: (c["name"] == F.col("conference")) & (c["name"] != ALL_CONFERENCES),
     )
     return standing_teams(content).select(
+        *carried(content),
         "season",
         F.explode(F.transform(named, lambda c: c["groupId"])).alias("conference_id"),
         F.col("id").alias("team_id"),
@@ -90,9 +97,11 @@ def teams_with_conference(content: DataFrame) -> DataFrame:
 def standings_teams(content: DataFrame) -> DataFrame:
     teams = teams_with_conference(content).drop("season")
     return excluding(teams.withColumn("id", F.col("team_id")), suffix="_id").select(
-        "id", "location", "mascot", "abbrev"
+        *carried(content), "id", "location", "mascot", "abbrev"
     )
 
 
 def conference_alignments(content: DataFrame) -> DataFrame:
-    return teams_with_conference(content).select("conference_id", "team_id", "season")
+    return teams_with_conference(content).select(
+        *carried(content), "conference_id", "team_id", "season"
+    )

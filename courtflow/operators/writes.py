@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtflow.operators.keyed import absent_from, one_per_key
+from courtflow.operators.keyed import absent_from, carried, one_per_key
 from courtflow.schemas import TableSpec
 
 
@@ -112,12 +112,12 @@ def with_fill_update(
 ) -> DataFrame:
     """``fill_update`` with a flag ``_written`` on the rows it sets."""
     keys = list(spec.primary_key)
-    present = [c for c in df.columns if c not in keys]
+    present = [c for c in df.columns if c not in (*keys, *carried(df))]
     set_columns = [c for c in present if columns is None or c in columns]
     if not set_columns:
         return target.withColumn("_written", F.lit(False))
     guard = guard or set_columns[0]
-    source = _source(df.select(*keys, *set_columns), spec, order)
+    source = _source(df.select(*keys, *set_columns, *carried(df)), spec, order)
     written = F.coalesce("_given", F.lit(False)) & F.col(guard).isNull()
 
     def value(c: str) -> Column:

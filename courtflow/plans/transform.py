@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtflow.operators import discovery, game_pages, player_pages, schedules, standings
+from courtflow.operators.keyed import DOCUMENT_TIME
 from courtflow.operators.writes import WriteAction
 from courtflow.schemas import RecordType
 from courtflow.session import scratch_path
@@ -83,10 +84,11 @@ def _staged(parsed: DataFrame, record_type: RecordType) -> DataFrame:
     """The parsed documents as a written table in the shared folder.
 
     JSON is parsed once; every target table then reads only its nested columns, and a
-    lost executor costs no second parse.
+    lost executor costs no second parse. Rows carry their document's time, so that of
+    rows with one key the newest document's is written.
     """
     path = scratch_path(parsed.sparkSession, f"parsed-{record_type.value}")
-    parsed.select("document_key", "parsed").write.parquet(path)
+    parsed.select("document_key", DOCUMENT_TIME, "parsed").write.parquet(path)
     return parsed.sparkSession.read.parquet(path)
 
 

@@ -224,7 +224,11 @@ def _transformed(spark: SparkSession, sf_dir: str) -> Warehouse:
         document_fixtures.games,
         document_fixtures.players,
     ):
-        store.append_documents(complete_records(build(spark, sf_dir), AS_OF))
+        documents = build(spark, sf_dir)
+        # pages of odd keys first, so that of schedules the even ones are newer
+        for parity in (1, 0):
+            part = documents.filter(F.col("document_key").cast("bigint") % 2 == parity)
+            store.append_documents(complete_records(part, AS_OF))
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse")).create_tables()
     transform_all(store, warehouse, AS_OF)
     return warehouse
@@ -257,6 +261,39 @@ SELECT s.id, strftime(coalesce(CASE WHEN g.known IS NOT NULL THEN g.began END, s
   CASE WHEN g.known IS NOT NULL THEN g.attendance IS NOT NULL END AS complete_record
 FROM schedule s LEFT JOIN g ON g.game_id=s.id WHERE s.id IS NOT NULL"""
 
+
+
+def transform_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Teams from standings, others as the newest schedule page names them."""
+    return _transformed(spark, sf_dir).read_table("Teams")
+
+
+TRANSFORM_TEAMS = f"""WITH {EVENTS_SQL}, {STANDINGS_SQL},
+standing AS (
+  SELECT DISTINCT s_suppkey AS id, s_name AS location, 'Mascot '||(s_suppkey%9) AS mascot,
+    'S'||s_suppkey AS abbrev, NULL::VARCHAR AS color, NULL::VARCHAR AS alt_color
+  FROM entries WHERE s_suppkey%13<>5),
+sides AS (
+  SELECT n%360 AS id, 'Mascot '||(n%3) AS mascot, o_orderkey%2 AS older FROM ev
+  UNION ALL SELECT (n*7+1)%360, 'Mascot '||(n%5), o_orderkey%2 FROM ev)
+SELECT * FROM standing
+UNION ALL
+SELECT id, 'City '||id, mascot, 'T'||id, CASE WHEN id%2=0 THEN lpad(id::VARCHAR, 6, '0') END,
+  CASE WHEN id%2=0 THEN 'ffffff' END
+FROM sides WHERE id NOT IN (SELECT id FROM standing)
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY older, mascot)=1"""
+
+
+def write_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faulty plays written twice; each reject is listed once."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse")).create_tables()
+    for _ in range(2):
+        warehouse.write_batch([("Plays", WriteAction.INSERT, _faulty_plays(spark, sf_dir))])
+    return warehouse.rejects("Plays").select("sequence_id", "reject_reason")
+
+
+WRITE_REJECTS = f"""SELECT * FROM ({CONSTRAINT_CHECK}) WHERE reject_reason<>''"""
+
 TRANSFORM_COUNTS = f"""WITH {EVENTS_SQL}, {GAME_SQL}, {STANDINGS_SQL}
 SELECT 'Venues' AS name, count(DISTINCT venue_id) AS n FROM schedule
 UNION ALL SELECT 'Teams', count(*) FROM (
@@ -286,5 +323,7 @@ QUERIES = {
     "constraint_check": (constraint_check, CONSTRAINT_CHECK),
     "write_batch": (write_batch, WRITE_BATCH),
     "transform_games": (transform_games, TRANSFORM_GAMES),
+    "transform_teams": (transform_teams, TRANSFORM_TEAMS),
+    "write_rejects": (write_rejects, WRITE_REJECTS),
     "transform_counts": (transform_counts, TRANSFORM_COUNTS),
 }

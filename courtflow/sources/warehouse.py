@@ -1,7 +1,8 @@
 """The thirteen tables on Parquet, and a batch of writes that shows all at once.
 
 A table is a list of directories. Inserts add a directory of new rows; updates and
-upserts write the table anew. A version names the directories of every table, and
+upserts write the table anew. A version names the directories of every table and of
+its rejects, and
 writing the next version, one small file, is what makes a batch visible. A batch that
 dies before that leaves the tables as they were, and can be run again.
 """
@@ -16,6 +17,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from courtflow.operators.keyed import DOCUMENT_TIME, absent_from
 from courtflow.operators.writes import (
     WriteAction,
     drop_null_keys,
@@ -28,7 +30,7 @@ from courtflow.operators.writes import (
 from courtflow.schemas import TABLES, TableSpec
 
 _VERSION_DDL = "version BIGINT, name STRING, paths ARRAY<STRING>"
-_REJECTS_DDL = "name STRING, reject_reason STRING, row STRING"
+_REJECTS_DDL = "reject_reason STRING, row STRING"
 # tables written at the same time, so that small ones need not wait for large ones
 TABLES_AT_ONCE = 4
 
@@ -47,6 +49,11 @@ def _observed(seen: Observation, name: str, unknown: int) -> int:
         return unknown
 
 
+def _rejects_of(name: str) -> str:
+    """The name under which a version lists a table's rejects."""
+    return f"rejects of {name}"
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -54,11 +61,9 @@ class Warehouse:
 
     def create_tables(self, erase: bool = False) -> Warehouse:
         """Create all tables where absent; ``erase`` starts again with empty ones."""
-        empty = {name: [] for name in TABLES}
+        empty = {name: [] for table in TABLES for name in (table, _rejects_of(table))}
         path = f"{self.root}/versions/v=0"
         self._version_frame(0, empty).write.mode("ignore").json(path)
-        none = self.spark.createDataFrame([], _REJECTS_DDL)
-        none.write.mode("ignore").parquet(f"{self.root}/rejects/none")
         if erase:
             version, _ = self._current()
             self._commit(version + 1, empty)
@@ -70,12 +75,16 @@ class Warehouse:
         return self._read(TABLES[name], tables[name])
 
     def rejects(self, name: str) -> DataFrame:
-        """Rows turned away from a table, with the reason."""
-        rows = self.spark.read.schema(_REJECTS_DDL).parquet(f"{self.root}/rejects/*")
+        """Rows turned away from a table, with the reason; each row and reason once."""
+        _, tables = self._current()
         row = F.from_json("row", TABLES[name].ddl).alias("row")
-        return rows.filter(F.col("name") == name).select(row, "reject_reason").select(
-            "row.*", "reject_reason"
-        )
+        rows = self._read_rejects(tables[_rejects_of(name)])
+        return rows.select(row, "reject_reason").select("row.*", "reject_reason")
+
+    def _read_rejects(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], _REJECTS_DDL)
+        return self.spark.read.schema(_REJECTS_DDL).parquet(*paths)
 
     def write_batch(self, writes: Iterable[Write]) -> Rows:
         """Write frames to their tables; returns affected rows per table and action.
@@ -93,10 +102,13 @@ class Warehouse:
         rows: Rows = {}
 
         def write_table(name: str) -> None:
+            turned_away = _rejects_of(name)
             for action, frames in grouped[name].items():
-                tables[name], rows[name, action] = self._write(
+                tables[name], rows[name, action], bad = self._write(
                     TABLES[name], action, union_rows(frames), tables[name], rules[name, action]
                 )
+                if bad is not None:
+                    tables[turned_away] = self._reject(TABLES[name], bad, tables[turned_away])
 
         with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
             list(pool.map(write_table, grouped))
@@ -109,9 +121,10 @@ class Warehouse:
 
     def _write(
         self, spec: TableSpec, action: WriteAction, frame: DataFrame, paths: list[str], rule: dict
-    ) -> tuple[list[str], int]:
+    ) -> tuple[list[str], int, DataFrame | None]:
+        """The table's directories, affected rows and, if there are any, bad rows."""
         target = self._read(spec, paths)
-        frame = frame.select(*[c for c in frame.columns if c in spec.columns])
+        frame = frame.select(*[c for c in frame.columns if c in (*spec.columns, DOCUMENT_TIME)])
         path = f"{self.root}/tables/{spec.name}/{uuid.uuid4().hex}"
         if action is WriteAction.UPDATE:
             # an update brings some columns only, so only its key can be judged
@@ -120,9 +133,8 @@ class Warehouse:
             for key in spec.primary_key:
                 unkeyed = unkeyed | F.col(key).isNull()
             bad = frame.filter(unkeyed).withColumn("reject_reason", F.lit("null key"))
-            if bad.limit(1).count():
-                self._reject(spec, bad)
-            return [path], self._save(spec, after, path)
+            n = self._save(spec, after, path)
+            return [path], n, bad if bad.limit(1).count() else None
 
         checked = with_reject_reason(frame, spec)
         is_bad = F.col("reject_reason").isNotNull()
@@ -133,39 +145,43 @@ class Warehouse:
             .drop("reject_reason")
         )
         if action is WriteAction.INSERT:
-            self._save(spec, rows_to_insert(target, valid, spec), path)
-            # from the files' footers: exact even if a lost task ran twice
-            n = self._read(spec, [path]).count()
+            n = self._save(spec, rows_to_insert(target, valid, spec), path)
             # nothing new, nothing to list
             paths = [*paths, path] if n else paths
         else:
             paths = [path]
             n = self._save(spec, with_upsert(target, valid, spec), path)
         # the frame is worked out again for its rejects only if it has any
-        if _observed(seen, "bad", unknown=1):
-            self._reject(spec, checked.filter(is_bad))
-        return paths, n
+        bad = checked.filter(is_bad) if _observed(seen, "bad", unknown=1) else None
+        return paths, n, bad
 
     def _save(self, spec: TableSpec, df: DataFrame, path: str) -> int:
-        """Write files of even size, the rows of a game together; counts ``_written``.
+        """Write files of even size, the rows of a game together; counts those set or added.
+
+        The count is taken from the files, so it is exact even if a lost task ran twice:
+        of all rows, or where rows have a flag ``_written``, of those with it. The flag
+        stays in the files, and no table's schema reads it.
 
         Rebalancing splits what is too large, so a hot game does not end in one task.
         Kept together, plays of a game combine on the map side when they are analysed.
         """
-        seen = Observation()
-        if "_written" in df.columns:
-            df = df.observe(seen, F.count_if("_written").alias("rows"))
-        rows = df.select(*spec.columns).hint("rebalance", *map(F.col, spec.cluster_by))
+        flag = [c for c in df.columns if c == "_written"]
+        rows = df.select(*spec.columns, *flag).hint("rebalance", *map(F.col, spec.cluster_by))
         if spec.cluster_by:
             rows = rows.sortWithinPartitions(*spec.cluster_by, *spec.primary_key)
         rows.write.parquet(path)
-        return _observed(seen, "rows", unknown=0) if "_written" in df.columns else 0
-
-    def _reject(self, spec: TableSpec, bad: DataFrame) -> None:
-        row = F.to_json(F.struct(*[c for c in bad.columns if c != "reject_reason"]))
-        bad.select(
-            F.lit(spec.name).alias("name"), "reject_reason", row.alias("row")
-        ).write.parquet(f"{self.root}/rejects/{uuid.uuid4().hex}")
+        if flag:
+            return self.spark.read.schema("_written BOOLEAN").parquet(path).filter("_written").count()
+        return self._read(spec, [path]).count()
+
+    def _reject(self, spec: TableSpec, bad: DataFrame, paths: list[str]) -> list[str]:
+        """Directories of the table's rejects after those not yet listed are added."""
+        row = F.to_json(F.struct(*[c for c in bad.columns if c in spec.columns]))
+        rows = bad.select("reject_reason", row.alias("row")).distinct()
+        new = absent_from(rows, self._read_rejects(paths), ["reject_reason", "row"], few=True)
+        path = f"{self.root}/rejects/{spec.name}/{uuid.uuid4().hex}"
+        new.write.parquet(path)
+        return [*paths, path] if self._read_rejects([path]).count() else paths
 
     def _read(self, spec: TableSpec, paths: list[str]) -> DataFrame:
         if not paths:

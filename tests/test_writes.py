@@ -1,11 +1,15 @@
 """Write operators and the warehouse."""
 
+from datetime import date, datetime
+
 import pytest
 
 from courtflow.operators import writes
 from courtflow.operators.keyed import one_per_key
 from courtflow.operators.writes import WriteAction
+from courtflow.plans.transform import transform_all
 from courtflow.schemas import PLAYERS, PLAYS, TABLES, TEAMS, VENUES
+from courtflow.sources.documents import DocumentStore
 from courtflow.sources.warehouse import Warehouse
 
 INSERT, UPDATE, UPSERT = WriteAction.INSERT, WriteAction.UPDATE, WriteAction.UPSERT
@@ -96,7 +100,7 @@ def test_batches(spark, warehouse):
     ]
     assert warehouse.write_batch(batch) == {("Venues", INSERT): 2, ("Teams", INSERT): 1}
     assert warehouse.write_batch(batch) == {("Venues", INSERT): 0, ("Teams", INSERT): 0}
-    assert [r.reject_reason for r in warehouse.rejects("Venues").collect()] == ["name is null"] * 2
+    assert [r.reject_reason for r in warehouse.rejects("Venues").collect()] == ["name is null"]
     changes = [
         ("Venues", UPSERT, venues(spark, (1, "A", "city"), (4, "d"))),
         ("Teams", UPDATE, spark.createDataFrame([(7, "m"), (8, "n")], "id bigint, mascot string")),
@@ -149,6 +153,42 @@ def test_a_batch_without_new_rows_lists_nothing(spark, warehouse):
     assert warehouse._current()[1] == before
 
 
+def test_rejects_of_a_rerun_or_a_failed_batch_are_not_listed(spark, warehouse):
+    bad = ("Venues", INSERT, venues(spark, (1, None), (1, None), (2, None)))
+    broken = spark.range(1).selectExpr("id", "raise_error('lost') AS location")
+    with pytest.raises(Exception, match="lost"):
+        warehouse.write_batch([bad, ("Teams", INSERT, broken)])
+    assert warehouse.rejects("Venues").count() == 0
+    warehouse.write_batch([bad])
+    before = warehouse._current()[1]
+    warehouse.write_batch([bad])
+    assert warehouse._current()[1] == before
+    assert sorted(r.id for r in warehouse.rejects("Venues").collect()) == [1, 2]
+
+
+def test_the_newest_document_wins(spark, warehouse):
+    ddl = "id bigint, name string, document_timestamp timestamp"
+    day = [datetime(2025, 1, d) for d in (1, 2, 3)]
+    frame = spark.createDataFrame([(1, "a", day[0]), (1, "z", day[1]), (1, "b", None), (2, "y", day[2]), (2, "x", day[2])], ddl)
+    assert rows(one_per_key(frame, ["id"]).select("id", "name")) == [(1, "z"), (2, "x")]
+    warehouse.write_batch([("Venues", INSERT, frame)])
+    assert rows(warehouse.read_table("Venues").select("id", "name")) == [(1, "z"), (2, "x")]
+    later = frame.selectExpr("id", "upper(name) AS name", "document_timestamp")
+    assert warehouse.write_batch([("Venues", UPSERT, later)]) == {("Venues", UPSERT): 2}
+    assert rows(warehouse.read_table("Venues").select("id", "name")) == [(1, "Z"), (2, "X")]
+
+
+def test_a_team_is_named_as_its_newest_page_does(spark, tmp_path, warehouse):
+    store = DocumentStore(spark, str(tmp_path / "store")).create()
+    page = '{"page":{"content":{"events":{"d":[{"id":"%d","teams":[{"id":"1","location":"%s"}]}]}}}}'
+    for n, name in enumerate(("Aged", "New")):
+        store.append_documents(spark.createDataFrame(
+            [(f"2025-01-0{n + 1}", "schedule", page % (n, name), True)],
+            "document_key string, record_type string, payload string, up_to_date boolean"))
+    transform_all(store, warehouse, date(2025, 2, 1))
+    assert [r.location for r in warehouse.read_table("Teams").collect()] == ["New"]
+
+
 def test_no_folder_of_one_machine_on_a_cluster():
     from types import SimpleNamespace
 
