@@ -267,6 +267,21 @@ def test_benchmark_passages(spark, odd, none):
     assert decontamination.matches(frame, benchmark.limit(0)).count() == 0
 
 
+def test_an_item_that_a_third_of_documents_hold(spark):
+    rnd = random.Random(6)
+    text = lambda n: [f"v{rnd.randrange(4000)}" for _ in range(n)]
+    item = text(20)
+    rows = []
+    for k in range(600):
+        at = rnd.randint(0, 60)
+        words = text(60)
+        rows.append((k, " ".join(words if k % 3 else words[:at] + item + words[at:])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item)), *((2 + k, " ".join(text(30))) for k in range(20))], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.matches(frame, benchmark).collect()}
+    assert found <= {(k, 1) for k in range(0, 600, 3)} and len(found) >= 190
+
+
 def test_common_subsequence():
     rnd = random.Random(2)
     for _ in range(200):
