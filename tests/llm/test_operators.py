@@ -282,6 +282,59 @@ def test_an_item_that_a_third_of_documents_hold(spark):
     assert found <= {(k, 1) for k in range(0, 600, 3)} and len(found) >= 190
 
 
+def every_match(texts, items):
+    """Pairs of text and item that pass the checks around any passage, by trying them all."""
+    place = lambda t: decontamination.passages(pa.array([t]))
+    known = [place(t)[4] for t in items]
+    ends = [place(re.split("[.!?]", t.rstrip(".!? \n"))[-1])[4] for t in items]
+    table = [decontamination.places_of(w) for w in known]
+    found = set()
+    for k, t in enumerate(texts):
+        _, begin, end, _, words = place(t)
+        for i, (own, last) in enumerate(zip(known, ends, strict=True)):
+            for b, e in zip(begin, end, strict=True):
+                around = words[max(0, b - len(own)) : e + len(own)]
+                share = decontamination.common_places(around, table[i], len(own), len(own) // 2) / len(own)
+                said = share >= 0.5 and len(last) >= 3 and decontamination.common_words(around, last) == len(last)
+                if share >= (0.5 if said else 0.7):
+                    found.add((k, i))
+                    break
+    return found
+
+
+def test_recall_of_benchmark_places(spark):
+    rnd = random.Random(8)
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    items = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").orderBy("item_id").collect()]
+    vocabulary = sorted({w for t in texts[:100] for w in t.split()})
+    some = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
+    planted = defaultdict(set)
+
+    def plant(kind, item, words):
+        k = rnd.randrange(250)
+        held = texts[k].split()
+        at = rnd.randint(0, len(held))
+        texts[k] = " ".join(held[:at] + words + held[at:])
+        planted[kind].add((k, item))
+
+    for i in range(40):
+        words = items[i].split()
+        plant("exact", i, words)
+        answer = len(re.split("[.!?]", items[i].rstrip(".!? \n"))[-1].split())
+        kept = set(rnd.sample(range(len(words) - answer), max(0, min(len(words) - answer, round(rnd.uniform(0.5, 0.6) * len(words)) - answer + 1))))
+        plant("paraphrased", i, [w if j in kept or j >= len(words) - answer else rnd.choice(vocabulary) for j, w in enumerate(words)])
+    for i in range(40, 80):
+        items.append(" ".join(some(rnd.randint(5, 7))))
+        plant("short", i, items[i].split())
+    right = every_match(texts[:250], items)
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.matches(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), benchmark).collect() if r.doc_id < 250}
+    recall = {kind: (len(found & pairs & right), len(pairs & right)) for kind, pairs in {**planted, "all": right}.items()}
+    print(recall)
+    assert found <= right and all(b >= 20 and a >= 0.9 * b for a, b in recall.values()), recall
+
+
 def test_common_subsequence():
     rnd = random.Random(2)
     for _ in range(200):
