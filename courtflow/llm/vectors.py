@@ -163,7 +163,7 @@ def near_duplicates(rows: DataFrame, similarity: float = 0.95) -> DataFrame:
     else:
         sample = units.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow()  # at most SAMPLE rows
         vectors = sample.column(0).to_pylist()
-        width = max(map(len, vectors))
+        width = units.agg(F.max(F.size("embedding"))).first()[0]  # of all, not of the sample
         same = [v + [0.0] * (width - len(v)) for v in vectors]
         links, counts = _met(scratch, units, fitted(_unit(same), total, similarity), similarity)
     groups = components(links)
@@ -189,8 +189,8 @@ def _met(scratch: Scratch, units: DataFrame, index: Index, similarity: float) ->
 
     def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         lists = batch.column("embedding").to_pylist()
-        size = np.array([min(len(v), width) for v in lists])
-        raw = np.array([(v + [0.0] * width)[:width] for v in lists])
+        size = np.array([len(v) for v in lists])
+        raw = np.array([v + [0.0] * (width - len(v)) for v in lists])
         return raw / np.linalg.norm(raw, axis=1)[:, None], size
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -433,6 +433,24 @@ def test_vectors(spark):
     assert vectors.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_a_longer_vector_outside_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SAMPLE", 64)
+    order = [r.id for r in spark.range(300).selectExpr("id", "xxhash64(id) AS h").orderBy("h", "id").collect()]
+    rng = np.random.default_rng(9)
+    rows = {k: rng.standard_normal(8).tolist() for k in range(300)}
+    # longer ones: one that begins like a short one, one that begins with zeros, and two that are near each other
+    like, zeros, one, two = order[-4:]
+    rows[like] = rows[order[0]] + [5.0] * 8
+    rows[zeros] = [0.0] * 8 + [1.0, -1.0] * 4
+    rows[one] = [1.0] * 8 + [-1.0] * 8
+    rows[two] = [1.0] * 8 + [-1.01] * 8
+    frame = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in vectors.near_duplicates(frame).collect()}
+    unit = {k: np.array(v) / np.linalg.norm(v) for k, v in rows.items()}
+    links = {k: sum(len(unit[j]) == len(unit[k]) and j != k and unit[j] @ unit[k] >= 0.95 for j in rows) for k in rows}
+    assert all(found[k].n_links == links[k] for k in (like, zeros, one, two)) and links[one] == 1 and links[like] == 0
+
+
 def test_recall_of_links(spark):
     sf = "/root/testdata/sf0.1"
     x = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
