@@ -68,6 +68,22 @@ def is_iban(span: Column) -> Column:
     return F.length(plain).between(15, 34) & (rest == 1)
 
 
+#: Characters of an IBAN by country, as registered.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_pattern() -> str:
+    """Exactly as long as the country's IBANs, so what follows is no part; any length for other countries."""
+    known = [f"(?:{'|'.join(c.split())})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()]
+    other = f"(?!{'|'.join(' '.join(IBAN_LENGTHS.values()).split())})[A-Z]{{2}}[0-9]{{2}}(?:\\x20?[A-Z0-9]){{11,30}}"
+    return f"(?<![A-Za-z0-9])(?:{'|'.join([*known, other])})(?![A-Za-z0-9])"
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -88,7 +104,7 @@ KINDS = (
          is_card, "card|credit|visa|payment|account", 0.7),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]",
          is_phone, r"phone|call|\btel|mobile|fax", 0.7),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}",
+    Kind("iban", iban_pattern(), "[A-Z]{2}[0-9]{2}",
          is_iban, "iban|bank|account|transfer", 0.8, base=False),
     Kind("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", "[0-9]-[0-9]{2}-[0-9]",
          None, r"\bssn\b|social security", 0.3, base=False),

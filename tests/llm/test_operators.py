@@ -202,6 +202,13 @@ def test_query_digests_and_other_kinds(spark, odd, none):
     assert pii.scan(odd).count() == len(ODD) and pii.redact(odd).columns == odd.columns and pii.scan(none).count() == 0
 
 
+def test_ibans_before_capitals_and_digits(spark):
+    rows = ["IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "DE89370400440532013000 2024", "GB82WEST12345698765432 AND MORE", "DE89370400440532013001 2024"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = [r.text for r in pii.redact(frame).orderBy("doc_id").collect()]
+    assert out == ["IBAN [IBAN] BIC COBADEFFXXX", "[IBAN] 2024", "[IBAN] AND MORE", rows[3]]
+
+
 # toxicity and language
 
 def test_held_out_toxicity(spark):
