@@ -8,6 +8,7 @@ from courtflow.llm import (
     language,
     licenses,
     packing,
+    periodic,
     pii,
     sharding,
     substrings,
@@ -26,4 +27,5 @@ QUERIES = {
     "op8_ngram_jaccard_join": (jaccard.op8_ngram_jaccard_join, jaccard.OP8_SQL),
     "op9_embedding_near_dedup": (vectors.op9_embedding_near_dedup, vectors.OP9_SQL),
     "op10_substring_dedup": (substrings.op10_substring_dedup, substrings.OP10_SQL),
+    "op12_periodic_runs": (periodic.op12_periodic_runs, periodic.OP12_SQL),
 }
