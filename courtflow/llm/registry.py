@@ -11,6 +11,7 @@ from courtflow.llm import (
     periodic,
     pii,
     sharding,
+    spelling,
     substrings,
     toxicity,
     vectors,
@@ -27,5 +28,6 @@ QUERIES = {
     "op8_ngram_jaccard_join": (jaccard.op8_ngram_jaccard_join, jaccard.OP8_SQL),
     "op9_embedding_near_dedup": (vectors.op9_embedding_near_dedup, vectors.OP9_SQL),
     "op10_substring_dedup": (substrings.op10_substring_dedup, substrings.OP10_SQL),
+    "op11_spelling_variants": (spelling.op11_spelling_variants, spelling.OP11_SQL),
     "op12_periodic_runs": (periodic.op12_periodic_runs, periodic.OP12_SQL),
 }
