@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from courtflow.llm import (
+    class_model,
     decontamination,
     jaccard,
     language,
@@ -30,4 +31,5 @@ QUERIES = {
     "op10_substring_dedup": (substrings.op10_substring_dedup, substrings.OP10_SQL),
     "op11_spelling_variants": (spelling.op11_spelling_variants, spelling.OP11_SQL),
     "op12_periodic_runs": (periodic.op12_periodic_runs, periodic.OP12_SQL),
+    "op13_class_model": (class_model.op13_class_model, None),
 }
