@@ -9,10 +9,10 @@ One edit at a place leaves a gram as it is unless the gram holds the place, or b
 behind it and could vanish inside a new gram that reaches over the edit; a frequent gram must then hold
 what lies between. So for each place of an edit a word knows grams before and behind that its variants
 surely have. As only one place is edited, a variant also shares all that is before the former and
-behind the latter; the lists of the index are therefore kept by (a gram and what is before it) and (a
-gram and what is behind it), or by both where both sides have fewer than `ALONE` code points. A word
-reads, for every place of an edit, the one list that must hold its variants, and words on it are
-verified by their edit distance.
+behind the latter, and the first and last `FAR` code points unless these are edited. The lists of the
+index are therefore kept by a gram with what is before it and the word's last code points, and by a
+gram with what is behind it and the word's first. A word reads, for every place of an edit, the one list
+that must hold its variants, and words on it are verified by their edit distance.
 
 Words in which some edit could touch all grams find each other likewise by all grams of three; any
 other variant of theirs finds them through lists of its own. So no pair is lost.
@@ -27,7 +27,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +38,7 @@ from courtflow.llm.common import Scratch, map_slices, table
 SHORT, LONG = 2, 4
 SHIFT = 15
 LEAST = 32  # a gram that begins so few places is never extended
-ALONE = 6
+FAR = 2
 MIN_LENGTH = 7
 _PLAIN = 3  # length of grams of words that an edit could touch everywhere
 _RUNS = re.compile("[a-zÀ-ÿ]{%d,}" % MIN_LENGTH)
@@ -113,70 +113,88 @@ def decompose(word: str, frequent: frozenset[str]) -> list[tuple[int, int]]:
     return grams
 
 
-def untouched(word: str, grams: list[tuple[int, int]], inner: frozenset[str]) -> set[tuple[int, int]]:
+def untouched(word: str, grams: list[tuple[int, int]], inner: frozenset[str]) -> list[tuple[int, int]]:
     """For each place of an edit: how much before and how much behind it surely stays, in whole grams.
 
-    (0, 0) stands for a place at which every gram may be touched. An insertion touches no more than a
-    change of the place behind it or, at the end, of the last place.
+    (0, 0) says that every gram may be touched. An insertion touches no more than a change of the
+    place behind it or, at the end, of the last place.
     """
-    kept = set()
-    for place in range(len(word)):
-        before = max((end for _, end in grams if end <= place), default=0)
-        behind = next(
-            (len(word) - begin for begin, end in grams if begin > place and word[place + 1 : end - 1] not in inner), 0)
-        kept.add((before, behind))
+    kept, before, i, j, n, length = [], 0, 0, 0, len(grams), len(word)
+    for place in range(length):
+        while i < n and grams[i][1] <= place:
+            before = grams[i][1]
+            i += 1
+        while j < n and grams[j][0] <= place:
+            j += 1
+        k = j
+        while k < n and word[place + 1 : grams[k][1] - 1] in inner:
+            k += 1
+        kept.append((before, length - grams[k][0] if k < n else 0))
     return kept
 
 
-def _key(kind: str, word: str, before: int, behind: int) -> str:
-    """The list of what is before and behind; the longer one alone if it is long."""
-    if max(before, behind) >= ALONE:
-        before, behind = (before, 0) if before >= behind else (0, behind)
-    return f"{kind}{word[:before]}|{word[len(word) - behind:]}"
+def _reads(word: str, kept: list[tuple[int, int]]) -> list[str]:
+    """The lists that a word reads: for each place of an edit that of the longer side."""
+    length, keys = len(word), set()
+    for place, (before, behind) in enumerate(kept):
+        tail = FAR if place < length - FAR else 0
+        head = FAR if place >= FAR else 0
+        if before and (before + tail >= behind + head or not behind):
+            keys.add(f"{word[:before]}<{word[length - tail:]}")
+        else:
+            keys.add(f"{word[:head]}>{word[length - behind:]}")
+    return list(keys)
 
 
-def keys_of(word: str, frequent: frozenset[str], inner: frozenset[str]) -> Iterator[tuple[bool, str]]:
-    """(reads, key): the lists that a word reads, and those that it is on."""
+def _lists(word: str, grams: list[tuple[int, int]]) -> list[str]:
+    """The lists that a word is on.
+
+    Ends of neighbouring grams are less than LONG apart, so what is before one of the last
+    places, where no tail is read with it, is nearly the whole word.
+    """
+    length = len(word)
+    head, tail = word[:FAR], word[length - FAR :]
+    return [
+        *(f"{word[:end]}<{tail}" for _, end in grams if end + FAR <= length),
+        *(f"{word[:end]}<" for _, end in grams if end >= length - LONG - 1),
+        *(f"{head}>{word[begin:]}" for begin, _ in grams if begin >= FAR),
+        *(f">{word[begin:]}" for begin, _ in grams),
+    ]
+
+
+def keys_of(word: str, frequent: frozenset[str], inner: frozenset[str]) -> tuple[list[str], list[str]]:
+    """The lists that a word reads, and those that it is on."""
     grams = decompose(word, frequent)
     kept = untouched(word, grams, inner)
-    plain = (0, 0) in kept
-    if not plain:
-        yield from ((True, key) for key in {_key("", word, *k) for k in kept})
-    yield from ((False, key) for key in _lists("", word, grams))
-    if plain:
-        grams = [(p, p + _PLAIN) for p in range(len(word) - _PLAIN + 1)]
-        kept = untouched(word, grams, frozenset())
-        yield from ((True, key) for key in {_key("3", word, *k) for k in kept})
-        yield from ((False, key) for key in _lists("3", word, grams))
-
-
-def _lists(kind: str, word: str, grams: list[tuple[int, int]]) -> set[str]:
-    befores = [0, *(end for _, end in grams)]
-    behinds = [0, *(len(word) - begin for begin, _ in grams)]
-    found = {_key(kind, word, b, 0) for b in befores if b} | {_key(kind, word, 0, b) for b in behinds if b}
-    return found | {_key(kind, word, a, b) for a in befores if 0 < a < ALONE for b in behinds if 0 < b < ALONE and a + b <= len(word)}
+    on = _lists(word, grams)
+    if (0, 0) not in kept:
+        return _reads(word, kept), on
+    plain = [(p, p + _PLAIN) for p in range(len(word) - _PLAIN + 1)]
+    reads = _reads(word, untouched(word, plain, frozenset()))
+    # lists of their own: no word holds a plus
+    return [f"+{key}" for key in reads], on + [f"+{key}" for key in _lists(word, plain)]
 
 
-def near_pairs(words: DataFrame) -> DataFrame:
+def near_pairs(scratch: Scratch, words: DataFrame) -> DataFrame:
     """a, b, n_a, n_b: words of a vocabulary (word, n) that are one edit apart, a before b."""
     frequent = frequent_grams(words)
     inner = inner_parts(frequent)
+    lists = pa.list_(pa.string())
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        reads, on = zip(*(keys_of(word, frequent, inner) for word in batch.column("word").to_pylist()), strict=True)
+        return pa.record_batch([batch.column("word"), batch.column("n"), pa.array(reads, lists), pa.array(on, lists)],
+                               names=["word", "n", "reads", "is_on"])
+
+    keys = map_slices(words.select("word", "n"), run, "word string, n long, reads array<string>, is_on array<string>",
+                      column="word", most=1 << 18)
+    keys = scratch.stored(keys, "keys")
+
+    def side(name: str, column: str) -> DataFrame:
+        rows = keys.select("word", "n", F.explode(column).alias("key"))
+        return rows.select("word", "n", F.xxhash64("key").alias("key")).alias(name)
 
-    def keys(reads: bool) -> DataFrame:
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows, found = [], []
-            for i, word in enumerate(batch.column("word").to_pylist()):
-                own = [key for r, key in keys_of(word, frequent, inner) if r is reads]
-                found += own
-                rows += [i] * len(own)
-            rows = pa.array(rows, pa.int64())
-            return pa.record_batch([batch.column("word").take(rows), batch.column("n").take(rows), pa.array(found, pa.string())],
-                                   names=["word", "n", "key"])
-
-        rows = map_slices(words.select("word", "n"), run, "word string, n long, key string", column="word", most=1 << 16)
-        return rows.select("word", "n", F.xxhash64("key").alias("key"))
-
-    x, y = keys(True).alias("x"), keys(False).alias("y")
+    x, y = side("x", "reads"), side("y", "is_on")
     apart = F.abs(F.length("x.word") - F.length("y.word"))
     first, second = (F.struct(f"{s}.word", f"{s}.n") for s in "xy")
     return (
@@ -199,7 +217,7 @@ def variants(words: DataFrame, times: int = 10) -> DataFrame:
     both = F.explode(F.array(
         F.struct(F.col("a").alias("word"), F.col("b").alias("near"), F.col("n_b").alias("near_n")),
         F.struct(F.col("b").alias("word"), F.col("a").alias("near"), F.col("n_a").alias("near_n"))))
-    near = near_pairs(words).select(both.alias("x")).select("x.*").groupBy("word").agg(
+    near = near_pairs(scratch, words).select(both.alias("x")).select("x.*").groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("top"))
     enough = -F.col("top.less") >= times * F.col("n")
     formed = scratch.stored(
