@@ -15,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -118,12 +119,15 @@ def scan(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES) -> DataFrame:
         for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), offsets, offsets[1:], strict=False):
             split = data[a:b].split()
             words = b" " + b" ".join(split) + b" "
-            matches, base = [], []
-            for notice, begin, end, edits in find(words, notices):
-                first = words.count(b" ", 0, begin) - 1
+            matches, base, found = [], [], find(words, notices)
+            # every word has one space before it, so the places of spaces number the words
+            spaces = np.flatnonzero(np.frombuffer(words, np.uint8) == 32) if found else None
+            places = np.array([(begin, end) for _, begin, end, _ in found], np.int64).reshape(-1, 2)
+            before = np.searchsorted(spaces, places).tolist() if found else []
+            for (notice, _, _, edits), (first, last) in zip(found, before, strict=True):
+                first, n_words = first - 1, last - first + 1
                 score = 1 - edits / len(notice.wording)
-                matches.append({"label": notice.label, "first_word": first, "edits": edits, "score": score,
-                                "n_words": words.count(b" ", begin, end) + 1})
+                matches.append({"label": notice.label, "first_word": first, "edits": edits, "score": score, "n_words": n_words})
                 if notice.base and not edits:
                     base.append((first, notice.label))
             rows.append((
