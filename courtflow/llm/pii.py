@@ -6,6 +6,9 @@ time in proportion to the text: repeats are possessive, and a match starts only
 have started earlier. A text is searched for a kind only if it has the characters that the kind
 needs.
 
+Places are running sums of the lengths, taken in chunks, and words nearby are cut out of the text's
+bytes, so a text may hold any number of spans.
+
 A null text counts as empty and has no spans. Each row stands alone; repeated rows give repeated
 results; an empty table gives no rows.
 """
@@ -20,7 +23,8 @@ from pyspark.sql import functions as F
 
 from courtflow.llm.common import table
 
-EMPTY = "cast(array() as array<struct<rank:int,kind:string,start:long,end:long,score:double>>)"
+EMPTY = ("cast(array() as array<struct<rank:int,kind:string,start:long,end:long,score:double,"
+         "byte_start:long,byte_end:long>>)")
 #: Code points before and after a span in which words count.
 NEAR = 40
 
@@ -113,41 +117,89 @@ WITH_WORDS = 0.3
 THRESHOLD = 0.5
 
 
+#: Elements of an array that are summed at once; appending to an array copies it.
+CHUNK = 256
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value worked out once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def prefixes(size: Column, item: Callable[[Column], Column], zero: Column, kind: str,
+             join: Callable[[Column, Column], Column]) -> Column:
+    """item(0), then item(0) joined with item(1), and so on: in chunks, whose ends are joined likewise."""
+    empty = F.expr(f"cast(array() as array<{kind}>)")
+    begin = F.struct(zero.alias("at"), empty.alias("all"))
+
+    def grown(a: Column, x: Column, shown: Column) -> Column:
+        return F.struct(join(a["at"], x).alias("at"), F.concat(a["all"], F.array(shown)).alias("all"))
+
+    def chunk(k: Column) -> Column:
+        places = F.sequence(k * CHUNK, F.least(k * CHUNK + CHUNK, size) - 1)
+        return F.aggregate(places, begin, lambda a, i: grown(a, item(i), join(a["at"], item(i))))
+
+    def spread(chunks: Column) -> Column:
+        before = F.aggregate(chunks, begin, lambda a, x: grown(a, x["at"], a["at"]), lambda a: a["all"])
+        return let(before, lambda ahead: F.flatten(F.transform(
+            chunks, lambda x, k: F.transform(x["all"], lambda v: join(F.get(ahead, k), v)))))
+
+    last = F.floor((size - 1) / CHUNK).cast("int")
+    return F.when(size > 0, let(F.transform(F.sequence(F.lit(0), last), chunk), spread)).otherwise(empty)
+
+
+def _placed(text: Column, pattern: str) -> Column:
+    """Matches with their places in code points and bytes."""
+    long_ = lambda c: c.cast("long")
+    # one more stretch lies between matches than there are matches
+    pieces = F.zip_with(
+        F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda gap, m: F.struct(
+            m.alias("m"), long_(F.char_length(gap)).alias("gap"), long_(F.octet_length(gap)).alias("byte_gap"),
+            long_(F.char_length(m)).alias("size"), long_(F.octet_length(m)).alias("byte_size")))
+
+    def places(x: Column) -> Column:
+        n = F.size(x) - 1
+        piece = lambda i: F.get(x, i)
+        ends = prefixes(
+            n, lambda i: F.struct((piece(i)["gap"] + piece(i)["size"]).alias("at"),
+                                  (piece(i)["byte_gap"] + piece(i)["byte_size"]).alias("byte_at")),
+            F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("byte_at")), "struct<at:long,byte_at:long>",
+            lambda a, v: F.struct((a["at"] + v["at"]).alias("at"), (a["byte_at"] + v["byte_at"]).alias("byte_at")))
+        return let(ends, lambda e: F.transform(e, lambda end, i: F.struct(
+            piece(i)["m"].alias("m"), (end["at"] - piece(i)["size"]).alias("start"), end["at"].alias("end"),
+            (end["byte_at"] - piece(i)["byte_size"]).alias("byte_start"), end["byte_at"].alias("byte_end"))))
+
+    return let(pieces, places)
+
+
+def _cut(data: Column, begin: Column, size: Column) -> Column:
+    """Bytes as text; copies no more than these."""
+    return F.substring(data, (begin + 1).cast("int"), size.cast("int")).cast("string")
+
+
 def spans_of(text: Column, kind: Kind, rank: int) -> Column:
-    """Confirmed spans of one kind: array of (rank, kind, start, end, score)."""
-    between = F.split(text, kind.pattern, -1)
-    matched = F.transform(
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)),
-        lambda m, i: F.struct(m.alias("m"), F.char_length(F.get(between, i)).cast("long").alias("gap"),
-                              F.char_length(m).cast("long").alias("size")),
-    )
-    start = F.struct(F.lit(0).cast("long").alias("at"),
-                     F.expr("cast(array() as array<struct<m:string,start:long,end:long>>)").alias("found"))
-    placed = F.aggregate(
-        matched, start,
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + x["size"]).alias("at"),
-            F.concat(a["found"], F.array(F.struct(
-                x["m"].alias("m"), (a["at"] + x["gap"]).alias("start"),
-                (a["at"] + x["gap"] + x["size"]).alias("end")))).alias("found"),
-        ),
-        lambda a: a["found"],
-    )
+    """Confirmed spans of one kind: array of (rank, kind, start, end, score, byte_start, byte_end).
+
+    The time is in proportion to the text, however many spans it has.
+    """
+    placed = _placed(text, kind.pattern)
     if kind.confirmed:
         placed = F.filter(placed, lambda x: kind.confirmed(x["m"]))
+    wide = F.lit(4 * NEAR).cast("long")  # a code point has four bytes at most
 
-    def scored(x: Column) -> Column:
-        begin = F.greatest(x["start"] - NEAR, F.lit(0))
+    def scored(data: Column, x: Column) -> Column:
+        ahead = F.least(x["byte_start"], wide)
         near = F.lower(F.concat_ws(
-            " ", F.substring(text, begin + 1, x["start"] - begin), F.substring(text, x["end"] + 1, F.lit(NEAR))))
+            " ", F.right(_cut(data, x["byte_start"] - ahead, ahead), F.lit(NEAR)), F.left(_cut(data, x["byte_end"], wide), F.lit(NEAR))))
         score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near.rlike(kind.words), WITH_WORDS).otherwise(0.0))
         return F.struct(F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"), x["start"].alias("start"),
-                        x["end"].alias("end"), score.alias("score"))
+                        x["end"].alias("end"), score.alias("score"), x["byte_start"].alias("byte_start"), x["byte_end"].alias("byte_end"))
 
-    spans = F.transform(placed, scored)
+    found = let(text.cast("binary"), lambda data: F.transform(placed, lambda x: scored(data, x)))
     if not kind.base:
-        spans = F.filter(spans, lambda x: x["score"] >= THRESHOLD)
-    return F.when(text.rlike(kind.needs), spans).otherwise(F.expr(EMPTY))
+        found = F.filter(found, lambda x: x["score"] >= THRESHOLD)
+    return F.when(text.rlike(kind.needs), found).otherwise(F.expr(EMPTY))
 
 
 def spans(text: Column) -> Column:
@@ -163,20 +215,23 @@ def digest(found: Column) -> Column:
 def redacted(text: Column, found: Column) -> Column:
     """The text with [KIND] for each span; overlapping spans become one, named by the first."""
     by_place = F.array_sort(F.transform(found, lambda x: F.struct(
-        x["start"].alias("start"), (-x["end"]).alias("back"), x["rank"].alias("rank"),
-        x["end"].alias("end"), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")).alias("mark"))))
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        return F.struct(
-            F.greatest(a["at"], x["end"]).alias("at"),
-            F.when(x["start"] >= a["at"], F.concat(
-                a["out"], F.substring(text, a["at"] + 1, x["start"] - a["at"]), x["mark"]))
-            .otherwise(a["out"]).alias("out"),
-        )
-
-    return F.when(F.size(found) == 0, text).otherwise(F.aggregate(
-        by_place, begin, step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1))))
+        x["byte_start"].alias("start"), (-x["byte_end"]).alias("back"), x["rank"].alias("rank"),
+        x["byte_end"].alias("end"), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")).alias("mark"))))
+    zero = F.lit(0).cast("long")
+
+    def pieces(data: Column, x: Column, ends: Column) -> Column:
+        # how far the spans before a span reach
+        passed = lambda i: F.when(i > 0, F.get(ends, i - 1)).otherwise(zero)
+        marked = F.transform(x, lambda s, i: F.when(
+            s["start"] >= passed(i), F.concat(_cut(data, passed(i), s["start"] - passed(i)), s["mark"])).otherwise(""))
+        reached = F.element_at(ends, -1)
+        rest = _cut(data, reached, F.octet_length(data).cast("long") - reached)
+        return F.concat(F.array_join(marked, ""), rest)
+
+    changed = let(by_place, lambda x: let(
+        prefixes(F.size(x), lambda i: F.get(x, i)["end"], zero, "long", lambda a, v: F.greatest(a, v)),
+        lambda ends: let(text.cast("binary"), lambda data: pieces(data, x, ends))))
+    return F.when(F.size(found) == 0, text).otherwise(changed)
 
 
 def scan(docs: DataFrame) -> DataFrame:
