@@ -13,8 +13,9 @@ each vector, how many it met, and links that join what it found connected: never
 
 Equal vectors are one class and link with each other. A vector that is null, zero, or holds null or
 non-finite components links with nothing, and vectors of different length do not link. Rows of equal
-vec_id and vector count once; a null vec_id gets no links and a null component. An empty table gives
-no rows. Only vec_id and embedding are read.
+vec_id and vector count once; a null vec_id gets no links and a null component. Different vectors of one
+vec_id each have their own links, and are of one component. An empty table gives no rows. Only vec_id
+and embedding are read.
 """
 
 from __future__ import annotations
@@ -127,35 +128,37 @@ def _unit(vectors: list) -> np.ndarray:
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
-    """(vec_id, h1, h2) of the rows that can link."""
-    fields = pa.schema([("vec_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
+    """The rows with h1 and h2, a digest of the vector; null where it can link with nothing."""
+    fields = pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float64())), ("h1", pa.int64()), ("h2", pa.int64())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, h1, h2 = [], [], []
+        h1, h2 = [], []
         for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if i is None or not v or any(c is None for c in v):
-                continue
-            x = np.asarray(v, np.float64) + 0.0  # no negative zero
-            if np.isfinite(x).all() and x.any():
+            x = None if i is None or not v or any(c is None for c in v) else np.asarray(v, np.float64) + 0.0  # no negative zero
+            if x is not None and np.isfinite(x).all() and x.any():
                 d = hashlib.md5(x.tobytes()).digest()
-                ids.append(i)
                 h1.append(int.from_bytes(d[:8], "little", signed=True))
                 h2.append(int.from_bytes(d[8:], "little", signed=True))
-        return pa.record_batch([pa.array(c, pa.int64()) for c in (ids, h1, h2)], schema=fields)
+            else:
+                h1.append(None)
+                h2.append(None)
+        return pa.record_batch([batch.column(0), batch.column(1).cast(fields.field(1).type), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], schema=fields)
 
-    return map_slices(vectors, run, "vec_id long, h1 long, h2 long", column="embedding")
+    return map_slices(vectors, run, "vec_id long, embedding array<double>, h1 long, h2 long", column="embedding")
 
 
 def near_duplicates(rows: DataFrame, similarity: float = 0.95) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row."""
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     scratch = Scratch(rows.sparkSession)
-    valid = scratch.stored(_classes(rows).distinct(), "vectors")
-    classes = scratch.stored(valid.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
-    # the rows of a class are equal, so any row of its smallest id that is valid has its vector
-    reps = valid.join(classes, ["h1", "h2"]).where("vec_id = id").select("vec_id", "copies")
+    # a class of equal vectors is named by 64 bits of its digest, and held by a row of its smallest id
+    known = scratch.stored(_classes(rows).withColumn("id", F.when(F.col("h1").isNotNull(), F.xxhash64("h1", "h2"))), "vectors")
+    valid = known.where("id is not null").select("vec_id", "id").distinct()
+    classes = scratch.stored(valid.groupBy("id").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies")), "classes")
+    reps = classes.select("id", F.col("low").alias("vec_id"), "copies")
     units = scratch.stored(
-        rows.join(reps, "vec_id").where(F.expr("exists(embedding, c -> c <> 0)")).dropDuplicates(["vec_id"]), "units")
+        known.select("vec_id", "id", "embedding").join(reps, ["vec_id", "id"]).dropDuplicates(["id"])
+        .select(F.col("id").alias("vec_id"), "embedding", "copies"), "units")
     total = units.count()
     spark = rows.sparkSession
     if not total:
@@ -166,14 +169,18 @@ def near_duplicates(rows: DataFrame, similarity: float = 0.95) -> DataFrame:
         width = units.agg(F.max(F.size("embedding"))).first()[0]  # of all, not of the sample
         same = [v + [0.0] * (width - len(v)) for v in vectors]
         links, counts = _met(scratch, units, fitted(_unit(same), total, similarity), similarity)
-    groups = components(links)
-    found = (
-        classes.join(counts, "id", "left").join(groups, "id", "left")
-        .select("h1", "h2", (F.coalesce("met", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                F.coalesce("component_id", "id").alias("component_id"))
-    )
-    found = valid.join(found, ["h1", "h2"]).groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
-    out = rows.select("vec_id").join(found, "vec_id", "left")
+    # vectors of one vec_id are of one component: each class goes with the smallest of them
+    several = valid.groupBy("vec_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("vec_id", "a")
+    same = valid.join(several, "vec_id").where("a <> id").select("a", F.col("id").alias("b"))
+    groups = components(links.unionByName(same))
+    # a component is named by the smallest vec_id in it
+    named = classes.select("id", "low").join(groups, "id")
+    named = named.join(named.groupBy("component_id").agg(F.min("low").alias("least")), "component_id").select("id", "least")
+    found = classes.join(counts, "id", "left").join(named, "id", "left").select(
+        "id", (F.coalesce("met", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("least", "low").alias("least"))
+    # an invalid row has its own vec_id's component, if a valid one has the same vec_id
+    of_id = valid.join(found, "id").groupBy("vec_id").agg(F.min("least").alias("component_id"))
+    out = known.select("vec_id", "id").join(found.select("id", "n_links"), "id", "left").join(of_id, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
                       F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
