@@ -16,12 +16,9 @@ from pyspark.sql import functions as F
 
 from courtflow.functions.periods import MENS_RULE, PeriodRule, minutes_since
 from courtflow.operators.keyed import one_per_key
-from courtflow.operators.ordering import (
-    READING,
-    order_columns,
-    reading_order,
-    within_reading_order,
-)
+from courtflow.operators.numbering import places
+from courtflow.operators.ordering import READING, order_columns, play_order, reading_order
+from courtflow.session import written
 
 # fixed values: play type of a substitution, slots of a side, mark of an empty slot
 SUB_TYPE_ID = 584
@@ -149,28 +146,21 @@ def player_readings(subs: DataFrame) -> DataFrame:
 
 
 def _index_subs(subs: DataFrame) -> DataFrame:
-    """Substitutions with sub_index and the player's previous reading (last_*)."""
-    # a struct compares its null fields as equal, unlike separate join columns
-    spot = F.struct("player_id", *READING).alias("spot")
-    readings = player_readings(subs).select(
-        "game_id", spot, "n_before", *[f"last_{c}" for c in READING]
-    )
-    here = Window.partitionBy("game_id", "spot").orderBy(*within_reading_order())
-    place = F.col("_place")
-    last = [
-        F.when(place > 1, F.col(c)).otherwise(F.col(f"last_{c}")).alias(f"last_{c}")
-        for c in READING
-    ]
-    return (
-        subs.withColumn("spot", spot)
-        .join(readings, ["game_id", "spot"])
-        .withColumn("_place", F.row_number().over(here))
-        .select(
-            *subs.columns,
-            (F.col("n_before") + place - 1).cast("bigint").alias("sub_index"),
-            *last,
-        )
+    """Substitutions with sub_index, their place among the player's, from 0."""
+    return places(subs, ["game_id", "player_id"], play_order(), "sub_index")
+
+
+def _with_last(subs: DataFrame) -> DataFrame:
+    """Indexed substitutions with the reading of the same player's previous one (last_*).
+
+    Every row meets at most one other, so no player or reading can be hot.
+    """
+    spot = F.struct("player_id", "sub_index")
+    following = F.struct("player_id", (F.col("sub_index") + 1).alias("sub_index"))
+    last = subs.select(
+        "game_id", following.alias("_spot"), *[F.col(c).alias(f"last_{c}") for c in READING]
     )
+    return subs.withColumn("_spot", spot).join(last, ["game_id", "_spot"], "left").drop("_spot")
 
 
 def with_sub_index(
@@ -189,9 +179,7 @@ def with_sub_index(
     others = booked.filter(is_other()).withColumn(
         "sub_index", F.lit(-1).cast("bigint")
     )
-    return others.unionByName(
-        subs.drop(*[f"last_{c}" for c in READING]), allowMissingColumns=True
-    )
+    return others.unionByName(subs, allowMissingColumns=True)
 
 
 def _minutes_since_last(rule: PeriodRule) -> Column:
@@ -212,7 +200,7 @@ def with_sub_durations(
     """Substitutions with the minutes since the same player's previous one."""
     subs = _booked_subs(plays, game_logs, rule, keyed)
     return (
-        _index_subs(subs)
+        _with_last(_index_subs(subs))
         .withColumn(sub_duration_col, _minutes_since_last(rule))
         .drop(*[f"last_{c}" for c in READING])
     )
@@ -245,49 +233,34 @@ def game_minutes(
 
 
 def _fold_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Carry both sides' slots through rows sorted by game and time.
+    """Carry both sides' slots through substitutions sorted by game and time.
 
-    Only substitutions and the first row of a game are looked at one by one; all rows
-    then take the state of the last of these. Holds ten slots and the current batch,
-    never a game.
+    Holds ten slots, a count and the current batch, never a game. ``move`` numbers a game's
+    substitutions from 1.
     """
-    game, sides = None, ([EMPTY] * SLOTS, [EMPTY] * SLOTS)
+    game, move, sides = None, 0, ([EMPTY] * SLOTS, [EMPTY] * SLOTS)
     for batch in batches:
-        games = batch.column("game_id").to_numpy()
-        moves = batch.column("is_move").to_numpy(zero_copy_only=False)
-        begins = np.empty(batch.num_rows, dtype=bool)
-        begins[:1] = games[:1] != game
-        begins[1:] = games[1:] != games[:-1]
-
-        turns = np.flatnonzero(moves | begins)
-        states = [sides[0] + sides[1]]
-        turned = batch.take(pa.array(turns)).select(
-            ["is_move", "is_away", "goes_out", "player_id"]
-        )
-        rows = zip(*[c.to_pylist() for c in turned.columns], strict=True)
-        for is_first, (is_move, is_away, goes_out, player) in zip(
-            begins[turns].tolist(), rows, strict=True
-        ):
-            if is_first:
-                sides = ([EMPTY] * SLOTS, [EMPTY] * SLOTS)
-            if is_move:
-                slots = sides[is_away]
-                leaves, enters = (player, EMPTY) if goes_out else (EMPTY, player)
-                # without a match the last slot is taken
-                slots[slots.index(leaves) if leaves in slots else SLOTS - 1] = enters
+        states, numbers = [], []
+        columns = [batch.column(c).to_pylist() for c in ("game_id", "is_away", "goes_out", "player_id")]
+        for own, is_away, goes_out, player in zip(*columns, strict=True):
+            if own != game:
+                game, move, sides = own, 0, ([EMPTY] * SLOTS, [EMPTY] * SLOTS)
+            slots = sides[is_away]
+            leaves, enters = (player, EMPTY) if goes_out else (EMPTY, player)
+            # without a match the last slot is taken
+            slots[slots.index(leaves) if leaves in slots else SLOTS - 1] = enters
+            move += 1
+            numbers.append(move)
             states.append(sides[0] + sides[1])
-        game = games[-1] if batch.num_rows else game
-
-        at_row = np.cumsum(moves | begins)
-        after = np.array(states, dtype=np.int64)[at_row]
+        after = np.array(states, dtype=np.int64).reshape(-1, 2 * SLOTS)
         offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * SLOTS)
         home, away = (
             pa.ListArray.from_arrays(offsets, pa.array(side.reshape(-1)))
             for side in (after[:, :SLOTS], after[:, SLOTS:])
         )
         yield pa.RecordBatch.from_arrays(
-            [batch.column("game_id"), batch.column("spot"), home, away],
-            names=["game_id", "spot", "home_in_play", "away_in_play"],
+            [batch.column("game_id"), batch.column("spot"), pa.array(numbers, pa.int64()), home, away],
+            names=["game_id", "spot", "move", "home_in_play", "away_in_play"],
         )
 
 
@@ -295,8 +268,9 @@ _SPOT = (
     "struct<period: bigint, clock_minutes: bigint, clock_seconds: bigint, "
     "sub_sequence_id: bigint>"
 )
+_READING = "struct<period: bigint, clock_minutes: bigint, clock_seconds: bigint>"
 _FOLDED = (
-    f"game_id bigint, spot {_SPOT}, "
+    f"game_id bigint, spot {_SPOT}, move bigint, "
     "home_in_play array<bigint>, away_in_play array<bigint>"
 )
 
@@ -322,60 +296,73 @@ def with_in_play(
     share one answer, and plays themselves are not sorted but joined.
 
     Which slot a player takes depends on every substitution before, so one game's
-    substitutions and clock readings pass through one task, as a stream of narrow rows.
+    substitutions pass through one task, as a stream of narrow rows. Clock readings do not:
+    running counts tell a reading how many substitutions lie behind, and it looks up the
+    lineup after the last of them.
     """
     start = (F.col("sequence_id") < 0) & (F.col("clock_minutes") > 0)
     bookend = F.when(start, -1).when(F.col("sequence_id") < 0, 1).otherwise(0)
-    moves = _index_subs(_booked_subs(plays, game_logs, rule, keyed)).select(
-        "game_id",
-        _spot(F.col("sequence_id")).alias("spot"),
-        "team_id",
-        "player_id",
-        (F.col("sub_index") % 2 == 1).alias("goes_out"),
-        bookend.alias("bookend"),
-        F.lit(True).alias("is_move"),
-    )
-    readings = (
-        plays.filter(is_other())
-        .select("game_id", *READING)
-        .distinct()
-        .select(
-            "game_id",
-            _spot(F.lit(None)).alias("spot"),
-            F.lit(0).alias("bookend"),
-            F.lit(False).alias("is_move"),
-        )
-    )
     none = F.lit(EMPTY)
     at_home = F.coalesce("team_id", none) == F.coalesce("home_id", none)
-    in_reading = order_columns(
-        [
-            ("bookend", False),
-            ("is_move", True),
-            ("goes_out", True),
-            ("team_id", False),
-            ("spot.sub_sequence_id", False),
-        ]
-    )
-    in_play = (
-        moves.unionByName(readings, allowMissingColumns=True)
-        .join(games.select(F.col("id").alias("game_id"), "home_id"), "game_id")
+    homes = games.select(F.col("id").alias("game_id"), "home_id")
+    moves = _index_subs(_booked_subs(plays, game_logs, rule, keyed)).withColumn("bookend", bookend)
+    folded = (
+        moves.join(homes, "game_id")
         .select(
             F.col("game_id").cast("bigint").alias("game_id"),
-            "spot",
+            _spot(F.col("sequence_id")).alias("spot"),
             "team_id",
             "bookend",
-            "is_move",
-            "goes_out",
+            (F.col("sub_index") % 2 == 1).alias("goes_out"),
             (~at_home).alias("is_away"),
-            F.coalesce("player_id", none).alias("player_id"),
+            F.coalesce("player_id", none).cast("bigint").alias("player_id"),
         )
         .repartition("game_id")
-        .sortWithinPartitions("game_id", *reading_order("spot."), *in_reading)
+        .sortWithinPartitions(
+            "game_id",
+            *reading_order("spot."),
+            *order_columns(
+                [
+                    ("bookend", False),
+                    ("goes_out", True),
+                    ("team_id", False),
+                    ("spot.sub_sequence_id", False),
+                ]
+            ),
+        )
         .mapInArrow(_fold_slots, _FOLDED)
     )
-    own = F.when(is_sub(), F.col("sequence_id"))
+    # written, as readings and substitutions both look lineups up and the fold is not split
+    folded = written(folded, "lineups")
+    # finish rows come after the plays of their reading
+    counts = moves.select(
+        "game_id", *READING, F.lit(1).alias("n"), (F.col("bookend") < 1).cast("int").alias("n_ahead"),
+        F.lit(False).alias("is_asked"),
+    )
+    asked = plays.filter(is_other()).select(
+        "game_id", *READING, F.lit(0).alias("n"), F.lit(0).alias("n_ahead"), F.lit(True).alias("is_asked")
+    )
+    earlier = (
+        Window.partitionBy("game_id")
+        .orderBy(*reading_order())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    readings = (
+        counts.unionByName(asked)
+        .groupBy("game_id", *READING)
+        .agg(F.sum("n").alias("n"), F.sum("n_ahead").alias("n_ahead"), F.max("is_asked").alias("is_asked"))
+        .withColumn("move", F.coalesce(F.sum("n").over(earlier), F.lit(0)) + F.col("n_ahead"))
+        .filter("is_asked")
+        .join(homes.select("game_id"), "game_id")
+        .select(F.col("game_id").cast("bigint").alias("game_id"), _spot(F.lit(None)).alias("spot"), "move")
+    )
+    nobody = F.array_repeat(none.cast("bigint"), SLOTS)
     lineup = ["home_in_play", "away_in_play"]
+    answers = readings.join(folded.drop("spot"), ["game_id", "move"], "left").select(
+        "game_id", "spot", *[F.coalesce(c, nobody).alias(c) for c in lineup]
+    )
+    in_play = folded.drop("move").unionByName(answers)
+    own = F.when(is_sub(), F.col("sequence_id"))
     if keyed:
         found = plays.withColumn("spot", _spot(own)).join(in_play, ["game_id", "spot"])
         return found.select(*plays.columns, *lineup)
@@ -396,69 +383,76 @@ def lineup_sets(
     """Every play with the sets of players on court at the end of its clock reading.
 
     Set-based, with no order inside a reading: a player is on court after a reading
-    if an odd number of substitutions lie behind. Stints are laid over the numbered
-    readings of the game, so the work is one row per reading and player on court.
+    if an odd number of substitutions lie behind. Readings at which somebody comes or goes
+    are numbered; stints are laid over these alone, and every other reading carries the
+    number of the last such reading. All of this happens within a game's readings, which
+    the clock bounds, so that after one shuffle by game no step needs another.
     Equals ``with_in_play`` as sets on non-substitutions while no side exceeds five.
     """
     finish = (F.col("sequence_id") < 0) & (F.col("clock_minutes") == 0)
-    subs = _booked_subs(plays, game_logs, rule, keyed).filter(~finish)
-    spot = F.struct(*[F.col(c).cast("bigint").alias(c) for c in READING]).alias("spot")
-    start = (F.lit(1), rule.minutes(F.lit(1)), F.lit(0))
-
-    game = Window.partitionBy("game_id")
-    numbered = (
-        plays.select("game_id", spot)
-        .unionByName(
-            plays.select(
-                "game_id",
-                F.struct(
-                    *[v.cast("bigint").alias(c) for c, v in zip(READING, start, strict=True)]
-                ).alias("spot"),
-            )
-        )
-        .distinct()
+    moves = (
+        _booked_subs(plays, game_logs, rule, keyed)
+        .filter(~finish & F.col("player_id").isNotNull())
+        .groupBy("game_id", "player_id", *READING)
+        .agg(F.count("sequence_id").alias("n_here"), F.max("team_id").alias("team_id"))
+    )
+    readings = plays.select("game_id", *READING).distinct()
+
+    in_order = Window.partitionBy("game_id").orderBy(*reading_order())
+    own = Window.partitionBy("game_id", "player_id").orderBy(*reading_order())
+    here = Window.partitionBy("game_id", *READING).orderBy(F.col("player_id").asc_nulls_last())
+    is_move = F.col("player_id").isNotNull()
+    first_here = is_move & (F.row_number().over(here) == 1)
+    rows = (
+        moves.unionByName(readings, allowMissingColumns=True)
+        .repartition("game_id")
         .join(games.select(F.col("id").alias("game_id"), "home_id"), "game_id")
-        .withColumns(
-            {
-                "tick": F.row_number().over(game.orderBy(*reading_order("spot."))),
-                "last_tick": F.count(F.lit(1)).over(game).cast("int"),
-            }
-        )
+        .withColumn("n_behind", F.sum("n_here").over(own))
+        # an even number of substitutions at a reading changes nobody's place
+        .filter(~is_move | (F.col("n_here") % 2 == 1))
+        .withColumn("is_change", first_here.cast("int"))
+        # rows of one reading are peers and get the same number
+        .withColumn("change", F.sum("is_change").over(in_order))
+        .withColumn("next_change", F.lead("change").over(own))
+        .withColumn("last_change", F.max("change").over(Window.partitionBy("game_id")))
     )
-    player = Window.partitionBy("game_id", "player_id").orderBy("tick")
-    stints = (
-        player_readings(subs.filter("player_id IS NOT NULL"))
-        .withColumn("spot", spot)
-        .join(numbered, ["game_id", "spot"])
-        .withColumn("next_tick", F.lead("tick").over(player))
-        .filter((F.col("n_before") + F.col("n_here")) % 2 == 1)
-        .select(
-            "game_id",
-            "player_id",
-            F.coalesce(F.col("team_id") == F.col("home_id"), F.lit(False)).alias("is_home"),
-            F.explode(
-                F.sequence("tick", F.coalesce(F.col("next_tick") - 1, F.col("last_tick")))
-            ).alias("tick"),
+    spot = F.struct(*[F.col(c).cast("bigint").alias(c) for c in READING])
+    is_home = F.coalesce(F.col("team_id") == F.col("home_id"), F.lit(False))
+    ends = F.coalesce(F.col("next_change") - 1, F.col("last_change"))
+
+    def part(change: Column, player: Column, home: Column, at: Column) -> Column:
+        return F.struct(
+            change.alias("change"), player.alias("player_id"), home.alias("is_home"), at.alias("spot")
         )
+
+    nothing = F.lit(None)
+    parts = F.when(
+        ~is_move,
+        F.array(part(F.col("change"), nothing.cast("bigint"), nothing.cast("boolean"), spot)),
+    ).when(
+        F.col("n_behind") % 2 == 1,
+        F.transform(
+            F.sequence("change", ends),
+            lambda k: part(k, F.col("player_id"), is_home, nothing.cast(_READING)),
+        ),
     )
 
     def players_of(side: Column) -> Column:
         return F.array_sort(F.collect_set(F.when(side, F.col("player_id"))))
 
-    on_court = stints.groupBy("game_id", "tick").agg(
-        players_of(F.col("is_home")).alias("home"),
-        players_of(~F.col("is_home")).alias("away"),
-    )
-    at_reading = numbered.join(on_court, ["game_id", "tick"], "left").select(
-        "game_id", "spot", "home", "away"
+    at_reading = (
+        rows.select("game_id", F.explode(parts).alias("part"))
+        .select("game_id", "part.*")
+        .groupBy("game_id", "change")
+        .agg(
+            players_of(F.col("is_home")).alias("home_set"),
+            players_of(~F.col("is_home")).alias("away_set"),
+            F.collect_list("spot").alias("spots"),
+        )
+        .select("game_id", F.explode("spots").alias("spot"), "home_set", "away_set")
     )
-    nobody = F.array().cast("array<bigint>")
     return (
         plays.withColumn("spot", spot)
         .join(at_reading, ["game_id", "spot"])
-        .select(
-            *plays.columns,
-            F.coalesce("home", nobody).alias("home_set"),
-            F.coalesce("away", nobody).alias("away_set"),
-        )
+        .select(*plays.columns, "home_set", "away_set")
     )

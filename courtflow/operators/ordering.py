@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtflow.operators.numbering import places, positions
+
 READING = ("period", "clock_minutes", "clock_seconds")
 
 
@@ -39,39 +41,26 @@ def play_order() -> list[Column]:
     return reading_order() + within_reading_order()
 
 
+def _global_order(with_datetime: bool) -> list[Column]:
+    lead = [(c, False) for c in (["datetime"] if with_datetime else []) + ["game_id"]]
+    return order_columns(lead) + play_order()
+
+
 def sort_plays(plays: DataFrame, with_datetime: bool = False) -> DataFrame:
     """Globally sorted plays; windows use ``play_order`` and need no global sort."""
-    lead = ["datetime"] if with_datetime else []
-    by = [(c, False) for c in [*lead, "game_id"]]
-    by += [(c, c != "period") for c in READING]
-    by += [(c, False) for c in ("home_score", "away_score", "sequence_id")]
-    return sort_by(plays, by)
+    return plays.orderBy(*_global_order(with_datetime))
+
+
+def sorted_positions(plays: DataFrame, with_datetime: bool = False) -> DataFrame:
+    """Plays with ``position``, their place in that order, from 1; no row is moved to the driver."""
+    found = positions(plays, _global_order(with_datetime), "position")
+    return found.withColumn("position", F.col("position") + 1)
 
 
 def number_plays(plays: DataFrame) -> DataFrame:
     """Plays with ``place``, their position in the order of their game, from 1.
 
-    Counts per clock reading say how many plays come before a reading; only the plays
-    of one reading are sorted together, so a game of any size spreads over its readings.
+    A game of any size, or one clock reading of it, spreads over many tasks.
     """
-    spot = F.struct(*READING).alias("spot")
-    earlier = (
-        Window.partitionBy("game_id")
-        .orderBy(*reading_order())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    readings = (
-        plays.groupBy("game_id", *READING)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "game_id",
-            spot,
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
-        )
-    )
-    here = Window.partitionBy("game_id", "spot").orderBy(*within_reading_order())
-    return (
-        plays.withColumn("spot", spot)
-        .join(readings, ["game_id", "spot"])
-        .select(*plays.columns, (F.col("n_before") + F.row_number().over(here)).alias("place"))
-    )
+    found = places(plays, ["game_id"], play_order(), "place")
+    return found.withColumn("place", F.col("place") + 1)

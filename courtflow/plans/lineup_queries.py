@@ -83,6 +83,56 @@ SELECT game_id, sequence_id, row_number() OVER (PARTITION BY game_id
     away_score ASC NULLS FIRST, sequence_id) AS place FROM plays"""
 
 
+def sort_all_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plays = ordering.sorted_positions(fixtures.plays(spark, sf_dir))
+    return plays.select("game_id", "sequence_id", "position")
+
+
+SORT_ALL_PLAYS = f"""WITH {PLAYS_SQL}
+SELECT game_id, sequence_id, row_number() OVER (
+  ORDER BY game_id, period ASC NULLS FIRST, clock_minutes DESC NULLS FIRST,
+    clock_seconds DESC NULLS FIRST, home_score ASC NULLS FIRST,
+    away_score ASC NULLS FIRST, sequence_id) AS position FROM plays"""
+
+
+def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the plays are substitutions of one player in one game, without a clock and scores."""
+    plays = fixtures.plays(spark, sf_dir)
+    hot = F.col("sequence_id") % 3 == 0
+    changed = {"game_id": -1, "player_id": 1, "team_id": fixtures.HOME, "play_type_id": lineups.SUB_TYPE_ID, "period": 1}
+    nulls = ("clock_minutes", "clock_seconds", "home_score", "away_score")
+    return plays.withColumns(
+        {c: F.when(hot, F.lit(v)).otherwise(F.col(c)).cast("bigint") for c, v in changed.items()}
+        | {c: F.when(~hot, F.col(c)) for c in nulls}
+    )
+
+
+def sub_index_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One clock reading of one game with a third of all rows."""
+    plays = _hot(spark, sf_dir)
+    none = fixtures.game_logs(spark, sf_dir).filter("false")
+    return lineups.with_sub_index(plays, none, keyed=True).filter("sequence_id >= 0").select(
+        "game_id", "sequence_id", "sub_index"
+    )
+
+
+SUB_INDEX_HOT = f"""WITH {PLAYS_SQL},
+h AS (SELECT * REPLACE (
+  CASE WHEN sequence_id%3=0 THEN -1 ELSE game_id END AS game_id,
+  CASE WHEN sequence_id%3=0 THEN 1 ELSE player_id END AS player_id,
+  CASE WHEN sequence_id%3=0 THEN 584 ELSE play_type_id END AS play_type_id,
+  CASE WHEN sequence_id%3=0 THEN 1 ELSE period END AS period,
+  CASE WHEN sequence_id%3<>0 THEN clock_minutes END AS clock_minutes,
+  CASE WHEN sequence_id%3<>0 THEN clock_seconds END AS clock_seconds,
+  CASE WHEN sequence_id%3<>0 THEN home_score END AS home_score,
+  CASE WHEN sequence_id%3<>0 THEN away_score END AS away_score) FROM plays)
+SELECT game_id, sequence_id, row_number() OVER (PARTITION BY game_id, player_id
+  ORDER BY period ASC NULLS FIRST, clock_minutes DESC NULLS FIRST,
+    clock_seconds DESC NULLS FIRST, home_score ASC NULLS FIRST,
+    away_score ASC NULLS FIRST, sequence_id) - 1 AS sub_index FROM h WHERE play_type_id=584
+UNION ALL SELECT game_id, sequence_id, -1 FROM h WHERE play_type_id<>584"""
+
+
 def period_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("period")
     quarters = PeriodRule(4, 10, 5)
@@ -276,6 +326,8 @@ IN_PLAY_UNKEYED = f"SELECT l.* FROM ({IN_PLAY}) l, (VALUES (1), (2)) twice"
 
 QUERIES = {
     "sort_plays": (sort_plays, SORT_PLAYS),
+    "sort_all_plays": (sort_all_plays, SORT_ALL_PLAYS),
+    "sub_index_hot": (sub_index_hot, SUB_INDEX_HOT),
     "period_minutes": (period_minutes, PERIOD_MINUTES),
     "bookends": (bookends, BOOKENDS),
     "bookends_subs_only": (bookends_subs_only, BOOKENDS_SUBS_ONLY),
