@@ -14,6 +14,7 @@ from courtflow.plans.flatten_queries import (
     AS_OF,
     EVENTS_SQL,
     GAME_SQL,
+    PLAYER_UPDATES,
     STANDINGS_SQL,
 )
 from courtflow.plans.transform import transform_all
@@ -284,6 +285,49 @@ FROM sides WHERE id NOT IN (SELECT id FROM standing)
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY older, mascot)=1"""
 
 
+#: Tables shown row by row after the job: keys, then what is shown of the other columns.
+_SHOWN = {
+    "Players": (["id"], ["first_name", "last_name", "position", "height_ft", "height_in", "weight",
+                         "birth_city", "birth_state", "complete_record"]),
+    "GameLogs": (["game_id", "player_id"], ["played", "started", "ejected"]),
+    "Plays": (["game_id", "sequence_id"], [
+        "play_type_id", "points_attempted", "is_score", "team_id", "player_id", "assist_id", "period", "clock_minutes",
+        "clock_seconds", "home_score", "away_score", "x_coord", "y_coord", "timestamp"]),
+}
+
+
+def transform_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job wrote to Players, GameLogs and Plays, one row a row."""
+    warehouse = _transformed(spark, sf_dir)
+    shown = []
+    for name, (keys, columns) in _SHOWN.items():
+        rows = warehouse.read_table(name)
+        if "timestamp" in columns:
+            rows = rows.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+        text = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]
+        first, second = (F.col(k) if k else F.lit(0) for k in (*keys, None)[:2])
+        shown.append(rows.select(
+            F.lit(name).alias("name"), first.cast("bigint").alias("key"), second.cast("bigint").alias("second_key"),
+            F.concat_ws("|", *text).alias("content")))
+    return writes.union_rows(shown)
+
+
+def _shown_sql(name: str) -> str:
+    keys, columns = _SHOWN[name]
+    text = ", ".join(f"coalesce({c}::VARCHAR, '-')" for c in columns)
+    return f"'{name}' AS name, {keys[0]} AS key, {(*keys, 0)[1]}::BIGINT AS second_key, concat_ws('|', {text}) AS content"
+
+
+TRANSFORM_CONTENTS = f"""WITH {GAME_SQL},
+changes AS ({PLAYER_UPDATES}),
+known_players AS (SELECT DISTINCT player_id AS id, first_name, last_name, position FROM named),
+players AS (SELECT k.*, height_ft, height_in, weight, birth_city, birth_state, complete_record
+  FROM known_players k LEFT JOIN changes USING (id))
+SELECT {_shown_sql('Players')} FROM players
+UNION ALL SELECT {_shown_sql('GameLogs')} FROM named
+UNION ALL SELECT {_shown_sql('Plays')} FROM flat WHERE sequence_id IS NOT NULL"""
+
+
 def write_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faulty plays written twice; each reject is listed once."""
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse")).create_tables()
@@ -325,5 +369,6 @@ QUERIES = {
     "transform_games": (transform_games, TRANSFORM_GAMES),
     "transform_teams": (transform_teams, TRANSFORM_TEAMS),
     "write_rejects": (write_rejects, WRITE_REJECTS),
+    "transform_contents": (transform_contents, TRANSFORM_CONTENTS),
     "transform_counts": (transform_counts, TRANSFORM_COUNTS),
 }

@@ -21,6 +21,8 @@ class TableSpec:
     primary_key: tuple[str, ...]
     not_null: tuple[str, ...] = ()
     non_negative: tuple[str, ...] = ()
+    #: parts by a hash of the key, of tables that are updated; only parts with given keys are written anew
+    parts: int = 1
 
     @property
     def schema(self) -> StructType:
@@ -68,6 +70,7 @@ PLAYERS = TableSpec(
     "height_ft BIGINT, height_in BIGINT, weight BIGINT, birth_city STRING, "
     "birth_state STRING, complete_record BOOLEAN",
     ("id",),
+    parts=16,
 )
 PLAYER_SEASONS = TableSpec(
     "PlayerSeasons",
@@ -84,6 +87,7 @@ GAMES = TableSpec(
     "has_shot_chart BOOLEAN, attendance BIGINT, complete_record BOOLEAN",
     ("id",),
     ("home_id", "away_id", "status_id"),
+    parts=16,
 )
 PLAYS = TableSpec(
     "Plays",

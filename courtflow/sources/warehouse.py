@@ -1,7 +1,9 @@
 """The thirteen tables on Parquet, and a batch of writes that shows all at once.
 
-A table is a list of directories. Inserts add a directory of new rows; updates and
-upserts write the table anew. A version names the directories of every table and of
+A table is a list of directories. Inserts add directories of new rows; updates and upserts
+write the table anew, or where a table has parts by a hash of its key, the parts that hold
+given keys: a directory belongs to one part, and the others are neither read nor
+written. A version names the directories of every table and of
 its rejects, and
 writing the next version, one small file, is what makes a batch visible. A batch that
 dies before that leaves the tables as they were, and can be run again.
@@ -31,6 +33,7 @@ from courtflow.schemas import TABLES, TableSpec
 
 _VERSION_DDL = "version BIGINT, name STRING, paths ARRAY<STRING>"
 _REJECTS_DDL = "reject_reason STRING, row STRING"
+_PART = "_part"
 # tables written at the same time, so that small ones need not wait for large ones
 TABLES_AT_ONCE = 4
 
@@ -54,6 +57,16 @@ def _rejects_of(name: str) -> str:
     return f"rejects of {name}"
 
 
+def _part_of(spec: TableSpec) -> F.Column:
+    """The part of a table that a key belongs to."""
+    return F.pmod(F.xxhash64(*spec.primary_key), F.lit(spec.parts)).cast("int")
+
+
+def _part_in(path: str) -> int:
+    """The part that a directory of a table with parts belongs to."""
+    return int(path.rpartition(f"{_PART}=")[2])
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -123,18 +136,23 @@ class Warehouse:
         self, spec: TableSpec, action: WriteAction, frame: DataFrame, paths: list[str], rule: dict
     ) -> tuple[list[str], int, DataFrame | None]:
         """The table's directories, affected rows and, if there are any, bad rows."""
-        target = self._read(spec, paths)
         frame = frame.select(*[c for c in frame.columns if c in (*spec.columns, DOCUMENT_TIME)])
-        path = f"{self.root}/tables/{spec.name}/{uuid.uuid4().hex}"
         if action is WriteAction.UPDATE:
             # an update brings some columns only, so only its key can be judged
-            after = with_fill_update(target, drop_null_keys(frame, spec), spec, **rule)
             unkeyed = F.lit(False)
             for key in spec.primary_key:
                 unkeyed = unkeyed | F.col(key).isNull()
             bad = frame.filter(unkeyed).withColumn("reject_reason", F.lit("null key"))
-            n = self._save(spec, after, path)
-            return [path], n, bad if bad.limit(1).count() else None
+            given = drop_null_keys(frame, spec)
+            touched, others = self._touched(spec, given, paths)
+            after = with_fill_update(self._read(spec, touched), given, spec, **rule)
+            # without rows to update there is nothing to write anew
+            written, n = self._save(spec, after) if touched else ([], 0)
+            if n:
+                paths = [*others, *written]
+            else:
+                self._delete(written)
+            return paths, n, bad if bad.limit(1).count() else None
 
         checked = with_reject_reason(frame, spec)
         is_bad = F.col("reject_reason").isNotNull()
@@ -145,18 +163,30 @@ class Warehouse:
             .drop("reject_reason")
         )
         if action is WriteAction.INSERT:
-            n = self._save(spec, rows_to_insert(target, valid, spec), path)
-            # nothing new, nothing to list
-            paths = [*paths, path] if n else paths
+            written, n = self._save(spec, rows_to_insert(self._read(spec, paths), valid, spec))
+            if n:
+                paths = [*paths, *written]
+            else:
+                # nothing new, nothing to list
+                self._delete(written)
         else:
-            paths = [path]
-            n = self._save(spec, with_upsert(target, valid, spec), path)
+            touched, others = self._touched(spec, checked.filter(~is_bad), paths)
+            written, n = self._save(spec, with_upsert(self._read(spec, touched), valid, spec))
+            paths = [*others, *written]
         # the frame is worked out again for its rejects only if it has any
         bad = checked.filter(is_bad) if _observed(seen, "bad", unknown=1) else None
         return paths, n, bad
 
-    def _save(self, spec: TableSpec, df: DataFrame, path: str) -> int:
-        """Write files of even size, the rows of a game together; counts those set or added.
+    def _touched(self, spec: TableSpec, rows: DataFrame, paths: list[str]) -> tuple[list[str], list[str]]:
+        """The directories of parts to which keys of the rows belong, and the others."""
+        if spec.parts == 1 or not paths:
+            return paths, []
+        # as many rows as the table has parts, at most
+        parts = {r[0] for r in rows.select(_part_of(spec)).distinct().collect()}
+        return [p for p in paths if _part_in(p) in parts], [p for p in paths if _part_in(p) not in parts]
+
+    def _save(self, spec: TableSpec, df: DataFrame) -> tuple[list[str], int]:
+        """Write files of even size, the rows of a game or part together; counts those set or added.
 
         The count is taken from the files, so it is exact even if a lost task ran twice:
         of all rows, or where rows have a flag ``_written``, of those with it. The flag
@@ -165,14 +195,35 @@ class Warehouse:
         Rebalancing splits what is too large, so a hot game does not end in one task.
         Kept together, plays of a game combine on the map side when they are analysed.
         """
+        path = f"{self.root}/tables/{spec.name}/{uuid.uuid4().hex}"
         flag = [c for c in df.columns if c == "_written"]
-        rows = df.select(*spec.columns, *flag).hint("rebalance", *map(F.col, spec.cluster_by))
-        if spec.cluster_by:
-            rows = rows.sortWithinPartitions(*spec.cluster_by, *spec.primary_key)
-        rows.write.parquet(path)
-        if flag:
-            return self.spark.read.schema("_written BOOLEAN").parquet(path).filter("_written").count()
-        return self._read(spec, [path]).count()
+        rows = df.select(*spec.columns, *flag)
+        if spec.parts > 1:
+            rows = rows.withColumn(_PART, _part_of(spec)).hint("rebalance", _PART)
+            rows.write.partitionBy(_PART).parquet(path)
+            paths = [p for p in self._listed(path) if f"{_PART}=" in p]
+        else:
+            rows = rows.hint("rebalance", *map(F.col, spec.cluster_by))
+            if spec.cluster_by:
+                rows = rows.sortWithinPartitions(*spec.cluster_by, *spec.primary_key)
+            rows.write.parquet(path)
+            paths = [path]
+        if flag and paths:
+            n = self.spark.read.schema("_written BOOLEAN").parquet(*paths).filter("_written").count()
+        else:
+            n = self._read(spec, paths).count()
+        return paths, n
+
+    def _listed(self, path: str) -> list[str]:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sorted(f"{path}/{f.getPath().getName()}" for f in files.listStatus(where))
+
+    def _delete(self, paths: list[str]) -> None:
+        """Remove directories that no version has named."""
+        for path in paths:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
     def _reject(self, spec: TableSpec, bad: DataFrame, paths: list[str]) -> list[str]:
         """Directories of the table's rejects after those not yet listed are added."""

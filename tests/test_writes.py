@@ -8,7 +8,7 @@ from courtflow.operators import writes
 from courtflow.operators.keyed import one_per_key
 from courtflow.operators.writes import WriteAction
 from courtflow.plans.transform import transform_all
-from courtflow.schemas import PLAYERS, PLAYS, TABLES, TEAMS, VENUES
+from courtflow.schemas import GAMES, PLAYERS, PLAYS, TABLES, TEAMS, VENUES
 from courtflow.sources.documents import DocumentStore
 from courtflow.sources.warehouse import Warehouse
 
@@ -197,3 +197,37 @@ def test_no_folder_of_one_machine_on_a_cluster():
     conf = SimpleNamespace(get=lambda key, default=None: None)
     with pytest.raises(ValueError, match="share"):
         shared_folder(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host")))
+
+
+def test_a_change_of_one_game_reads_and_writes_one_part(spark, warehouse):
+    ddl = "id bigint, home_id bigint, away_id bigint, status_id bigint"
+    games = spark.createDataFrame([(k, 1, 2, 3) for k in range(200)], ddl)
+    warehouse.write_batch([("Games", INSERT, games)])
+    before = warehouse._current()[1]["Games"]
+    assert len(before) == GAMES.parts
+    change = spark.createDataFrame([(7, 900)], "id bigint, attendance bigint")
+    assert warehouse.write_batch([("Games", UPDATE, change)]) == {("Games", UPDATE): 1}
+    after = warehouse._current()[1]["Games"]
+    assert len(after) == GAMES.parts and len(set(before) - set(after)) == 1
+    [gone], [new] = set(before) - set(after), set(after) - set(before)
+    assert gone.rpartition("/")[2] == new.rpartition("/")[2]
+    kept = spark.read.parquet(gone).select("id")
+    assert rows(spark.read.parquet(new).select("id")) == rows(kept) and kept.filter("id = 7").count() == 1
+    table = warehouse.read_table("Games")
+    assert table.count() == 200 and table.filter("attendance = 900").count() == 1
+    # an update that meets no row, and an upsert of a new one
+    nothing = spark.createDataFrame([(999, 900)], "id bigint, attendance bigint")
+    assert warehouse.write_batch([("Games", UPDATE, nothing)]) == {("Games", UPDATE): 0}
+    assert warehouse._current()[1]["Games"] == after
+    more = spark.createDataFrame([(7, 5, 6, 7), (500, 5, 6, 7)], ddl)
+    assert warehouse.write_batch([("Games", UPSERT, more)]) == {("Games", UPSERT): 2}
+    table = warehouse.read_table("Games")
+    assert table.count() == 201 and table.filter("home_id = 5").count() == 2
+    assert table.filter("attendance = 900").count() == 1
+    assert len(set(after) - set(warehouse._current()[1]["Games"])) <= 2
+
+
+def test_an_update_of_an_empty_table_with_parts(spark, warehouse):
+    change = spark.createDataFrame([(7, 900)], "id bigint, attendance bigint")
+    assert warehouse.write_batch([("Games", UPDATE, change)]) == {("Games", UPDATE): 0}
+    assert warehouse.read_table("Games").count() == 0
