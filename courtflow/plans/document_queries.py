@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import suppress
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from courtflow.functions.payloads import html_to_payload, json_path
 from courtflow.functions.values import excluding, with_default_column
 from courtflow.operators import discovery, records
 from courtflow.plans.fixtures import table
+from courtflow.plans.worklist import discovered_to_fetch, ingest_staged
 from courtflow.schemas import RecordType
 from courtflow.session import scratch_path
 from courtflow.sources.documents import (
@@ -22,7 +25,7 @@ from courtflow.sources.documents import (
     parse_payload,
     rejected_documents,
 )
-from courtflow.streaming.ingest import ingest_batch, ingest_stream
+from courtflow.streaming.ingest import ingest_batch, ingest_stream, landed_records
 
 AS_OF = dt.date(1998, 7, 1)
 
@@ -103,7 +106,8 @@ def culled(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("videos"),
         )
     )
-    documents = table(spark, sf_dir, "orders").select(
+    # dealt out by key: the file may be one row group, and then all JSON would be made in one task
+    documents = table(spark, sf_dir, "orders").repartition("o_orderkey").select(
         _text(F.col("o_orderkey")).alias("document_key"),
         F.when(status == "F", F.lit("game")).otherwise(F.lit("player")).alias("record_type"),
         F.when(status == "F", game).otherwise(player).alias("payload"),
@@ -128,7 +132,7 @@ def html(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     page = F.replace(F.col("html"), F.lit("<head>"), script)
     payload = html_to_payload(page)
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages").repartition("page_id").select(
         "page_id",
         json_path(payload, "page_id", type_="bigint").alias("found_id"),
         json_path(payload, "url").alias("found_url"),
@@ -159,7 +163,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     day = F.when(F.col("o_orderstatus") != "P", F.date_format(date, "yyyy-MM-dd'T'18:30'Z'"))
     header = F.struct(F.array(F.struct(day.alias("date"))).alias("competitions"))
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").repartition("o_orderkey").select(
         "o_orderkey",
         kind.alias("record_type"),
         key.alias("document_key"),
@@ -508,6 +512,116 @@ def batch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(store)
 
 
+class _DiesOnce(DocumentStore):
+    """A store whose second load dies between its documents and its manifest."""
+
+    def load_manifest(self, keys: DataFrame, load: str | None = None) -> str:
+        if load and load.endswith("-1"):
+            raise RuntimeError("died between two writes")
+        return super().load_manifest(keys, load)
+
+
+def _land(spark: SparkSession, sf_dir: str, files: int) -> str:
+    """The records as so many JSON files."""
+    path = scratch_path(spark, "landing")
+    rows = _landed(spark, sf_dir, spark.read)
+    rows.repartition(files, "document_key", "record_type").write.json(path)
+    return path
+
+
+def _in_batches(spark: SparkSession, sf_dir: str) -> DocumentStore:
+    """A file a batch; the second batch dies half written, and the stream starts again."""
+    landing, checkpoint = _land(spark, sf_dir, 4), scratch_path(spark, "stream")
+    store = _store(spark)
+
+    def run(into: DocumentStore) -> None:
+        records = landed_records(spark, landing, files=1)
+        ingest_stream(records, into, _INGEST_AS_OF, checkpoint, available_now=True).awaitTermination()
+
+    with suppress(StreamingQueryException):
+        run(_DiesOnce(spark, store.root))
+    run(store)
+    return store
+
+
+def batches_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(_in_batches(spark, sf_dir))
+
+
+def batches_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_batches(spark, sf_dir).manifest()
+
+
+def two_streams_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with checkpoints of their own, one for games and one for the rest, into one store."""
+    store, landed = _store(spark), _landed(spark, sf_dir, spark.readStream)
+    for records in (landed.filter("record_type = 'game'"), landed.filter("record_type <> 'game'")):
+        ingest_stream(
+            records, store, _INGEST_AS_OF, scratch_path(spark, "stream"), available_now=True
+        ).awaitTermination()
+    return _shown(store)
+
+
+def compacted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small loads rewritten as one, then one more load, rewritten again."""
+    store, landed = _store(spark), _landed(spark, sf_dir, spark.read)
+    part = F.pmod(F.xxhash64("document_key"), F.lit(3))
+    for k in range(3):
+        ingest_batch(landed.filter(part == k), store, _INGEST_AS_OF, f"load-{k}")
+        if k:
+            store.compact()
+    return _shown(store)
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> DocumentStore:
+    """One stream per type, each taking what the stages before it brought to light."""
+    landing, store = scratch_path(spark, "landing"), _store(spark)
+    rows = _landed(spark, sf_dir, spark.read).withColumn("kind", F.col("record_type"))
+    for record_type in RecordType:
+        own = rows.filter(F.col("kind") == record_type.value).drop("kind")
+        own.repartition(2, "document_key").write.json(f"{landing}/{record_type.value}")
+    checkpoint = scratch_path(spark, "stream")
+    ingest_staged(spark, landing, store, _INGEST_AS_OF, checkpoint, listed_only=True, files=1)
+    return store
+
+
+def staged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _staged(spark, sf_dir).documents().groupBy("record_type", "document_key", "up_to_date").count()
+
+
+_STAGED_SQL = f"""{_INGESTED_SQL},
+listed_games AS (SELECT DISTINCT event_id//3 AS id FROM i WHERE record_type='schedule'),
+games AS (SELECT * FROM i WHERE record_type='game' AND event_id IN (SELECT id FROM listed_games)),
+listed_players AS (SELECT DISTINCT user_id AS id FROM games),
+players AS (SELECT * FROM i WHERE record_type='player' AND event_id IN (SELECT id FROM listed_players))"""
+
+STAGED_DOCUMENTS = f"""WITH {_STAGED_SQL}
+SELECT record_type, CASE record_type WHEN 'schedule' THEN strftime(ts, '%Y-%m-%d')
+    WHEN 'standings' THEN '2024' ELSE event_id::VARCHAR END AS document_key,
+  CASE record_type WHEN 'standings' THEN FALSE WHEN 'schedule' THEN ts<TIMESTAMP '2024-01-15'
+    ELSE TRUE END AS up_to_date, count(*) AS count
+FROM (SELECT * FROM i WHERE record_type IN ('standings', 'schedule')
+      UNION ALL SELECT * FROM games UNION ALL SELECT * FROM players) GROUP BY ALL"""
+
+
+def staged_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key of the manifest, and whether it is still to be fetched."""
+    store = _staged(spark, sf_dir)
+    lists = [
+        discovered_to_fetch(store, t).select("document_key", F.lit(t.value).alias("record_type"), F.lit(True).alias("to_fetch"))
+        for t in (RecordType.GAME, RecordType.PLAYER)
+    ]
+    key = ["document_key", "record_type"]
+    found = store.manifest().join(lists[0].unionByName(lists[1]), key, "left")
+    return found.withColumn("to_fetch", F.coalesce("to_fetch", F.lit(False)))
+
+
+STAGED_WORKLIST = f"""WITH {_STAGED_SQL}
+SELECT id::VARCHAR AS document_key, 'game' AS record_type,
+  id NOT IN (SELECT event_id FROM games) AS to_fetch FROM listed_games
+UNION ALL
+SELECT id::VARCHAR, 'player', id NOT IN (SELECT event_id FROM players) FROM listed_players"""
+
 QUERIES = {
     "latest_documents": (latest, LATEST),
     "json_path": (paths, PATHS),
@@ -532,4 +646,10 @@ QUERIES = {
     "append_documents": (batch_documents, INGEST_DOCUMENTS),
     "ingest_stream_documents": (stream_documents, INGEST_DOCUMENTS),
     "ingest_stream_manifest": (stream_manifest, INGEST_MANIFEST),
+    "ingest_batches_documents": (batches_documents, INGEST_DOCUMENTS),
+    "ingest_batches_manifest": (batches_manifest, INGEST_MANIFEST),
+    "ingest_two_streams": (two_streams_documents, INGEST_DOCUMENTS),
+    "compact_documents": (compacted_documents, INGEST_DOCUMENTS),
+    "ingest_staged_documents": (staged_documents, STAGED_DOCUMENTS),
+    "ingest_staged_worklist": (staged_worklist, STAGED_WORKLIST),
 }

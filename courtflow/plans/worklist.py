@@ -15,8 +15,9 @@ from courtflow.functions.seasons import season_page_dates
 from courtflow.operators.discovery import discovered_keys, existing_keys, keys_to_fetch
 from courtflow.operators.records import document_key
 from courtflow.schemas import RecordType
+from courtflow.session import scratch_path
 from courtflow.sources.documents import DocumentStore
-from courtflow.streaming.ingest import ingest_stream, landed_records
+from courtflow.streaming.ingest import FLUSH_FILES, ingest_stream, landed_records
 
 
 def standings_to_fetch(seasons: DataFrame, store: DocumentStore) -> DataFrame:
@@ -39,16 +40,27 @@ def discovered_to_fetch(store: DocumentStore, record_type: RecordType) -> DataFr
 
 
 def ingest_staged(
-    spark: SparkSession, landing: str, store: DocumentStore, as_of: dt.date, checkpoint: str
+    spark: SparkSession,
+    landing: str,
+    store: DocumentStore,
+    as_of: dt.date,
+    checkpoint: str,
+    listed_only: bool = False,
+    files: int = FLUSH_FILES,
 ) -> None:
-    """Ingest what has landed in one folder per type, type by type."""
+    """Ingest what has landed in one folder per type, type by type.
+
+    ``listed_only`` takes of games and players those alone that the documents of earlier stages
+    brought to light: a stage's work list is written when it begins, and meets the stream
+    batch by batch. A run that died is run again with the same checkpoint.
+    """
     for record_type in RecordType:
         name = record_type.value
+        records = landed_records(spark, f"{landing}/{name}", files)
+        if listed_only and record_type in (RecordType.GAME, RecordType.PLAYER):
+            path = scratch_path(spark, f"listed-{name}")
+            discovered_to_fetch(store, record_type).select("document_key").write.parquet(path)
+            records = records.join(spark.read.parquet(path), "document_key", "left_semi")
         ingest_stream(
-            landed_records(spark, f"{landing}/{name}"),
-            store,
-            as_of,
-            f"{checkpoint}/{name}",
-            name,
-            available_now=True,
+            records, store, as_of, f"{checkpoint}/{name}", name, available_now=True
         ).awaitTermination()

@@ -19,11 +19,11 @@ FLUSH_FILES = 200
 FLUSH_INTERVAL = "120 seconds"
 
 
-def landed_records(spark: SparkSession, path: str) -> DataFrame:
-    """Stream of the JSON records that land below a path."""
+def landed_records(spark: SparkSession, path: str, files: int = FLUSH_FILES) -> DataFrame:
+    """Stream of the JSON records that land below a path, so many files a batch."""
     return (
         spark.readStream.schema(RECORDS_DDL)
-        .option("maxFilesPerTrigger", FLUSH_FILES)
+        .option("maxFilesPerTrigger", files)
         .json(path)
     )
 

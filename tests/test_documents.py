@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from courtflow.operators import discovery, game_pages, player_pages, records, sc
 from courtflow.plans import worklist
 from courtflow.plans.transform import transform_all
 from courtflow.operators.writes import WriteAction
+from courtflow.operators.discovery import pending_documents
+from courtflow.plans.transform import pending
 from courtflow.schemas import RecordType
 from courtflow.sources.documents import (
     DocumentStore,
@@ -363,3 +366,123 @@ def test_a_second_stream_adds_to_the_store(spark, tmp_path, store):
         ingest_stream(landed_records(spark, landing), store, AS_OF, str(tmp_path / f"cp-{day}"),
                       available_now=True).awaitTermination()
     assert sorted(r.document_key for r in store.documents().collect()) == ["11", "12"]
+
+
+def many_keys(spark, *keys, record_type="game"):
+    return spark.createDataFrame([(k, record_type) for k in keys], "document_key string, record_type string")
+
+
+def plan_of(spark, df, mode="formatted"):
+    return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
+def test_a_batch_of_few_keys_reads_few_parts_of_the_manifest(spark, store):
+    store.load_manifest(many_keys(spark, *map(str, range(500))), "first")
+    batch = many_keys(spark, "7", "8", "9999")
+    known = store.known_keys(batch)
+    [filters] = [line for line in plan_of(spark, known).splitlines() if line.startswith("PartitionFilters")]
+    assert re.search(r"part#\d+ (IN|INSET)", filters) and 1 <= known.select("document_key").count() < 500
+    assert store.load_manifest(batch, "second") == "second"
+    assert sorted(r.document_key for r in store.manifest().collect()) == sorted([*map(str, range(500)), "9999"])
+
+
+def files_of(store, name):
+    return store._read(name, "document_key STRING").inputFiles()
+
+
+def test_many_small_loads_become_one(spark, store):
+    for k in range(5):
+        ingest_batch(documents(spark, (str(k), "game", GAME), (f"2024-03-0{k + 1}", "schedule", SCHEDULE)), store, AS_OF, f"l{k}")
+    columns = ("document_key", "record_type", "document_timestamp", "up_to_date", "payload")
+
+    def held():
+        return sorted(map(tuple, store.documents().select(*columns).collect())), sorted(tuples(store.manifest()))
+
+    before, n_files = held(), len(files_of(store, "documents"))
+    named = store.compact()
+    assert set(named) == {"documents", "manifest"} and held() == before
+    assert len(files_of(store, "documents")) <= 2 < n_files
+    # what ran before may run again under its name, and new loads are added
+    ingest_batch(documents(spark, ("3", "game", GAME)), store, AS_OF, "l3")
+    assert held() == before
+    ingest_batch(documents(spark, ("9", "game", GAME)), store, AS_OF, "l9")
+    grown = held()
+    assert len(grown[0]) == len(before[0]) + 1
+    store.compact()
+    assert held() == grown and store._loads("documents") != [] and store.compact() == {}
+
+
+@pytest.mark.parametrize("dies_in", ["_write", "_remove"])
+def test_a_rewrite_that_dies_changes_nothing(spark, store, monkeypatch, dies_in):
+    for k in range(3):
+        ingest_batch(documents(spark, (str(k), "game", GAME)), store, AS_OF, f"l{k}")
+    before = sorted(map(tuple, store.documents().collect())), sorted(tuples(store.manifest()))
+    real = getattr(DocumentStore, dies_in)
+
+    def dies(self, *args):
+        if dies_in == "_write":
+            real(self, *args)  # written, not yet named
+        elif not args[1]:
+            return
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(DocumentStore, dies_in, dies)
+        with pytest.raises(RuntimeError):
+            store.compact()
+    assert (sorted(map(tuple, store.documents().collect())), sorted(tuples(store.manifest()))) == before
+    store.compact()
+    assert (sorted(map(tuple, store.documents().collect())), sorted(tuples(store.manifest()))) == before
+    assert len(store._loads("documents")) == 1
+
+
+def test_pending_reads_the_same_documents_and_no_payload_before_the_anti_join(spark, tmp_path, store):
+    ingest_batch(all_records(spark), store, AS_OF, "one")
+    ingest_batch(documents(spark, ("11", "game", GAME), ("12", "game", GAME)), store, AS_OF, "two")
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse")).create_tables()
+    for _ in range(2):
+        for record_type, table in ((RecordType.GAME, "Games"), (RecordType.PLAYER, "Players")):
+            mine = pending(store, warehouse, record_type)
+            complete = discovery.complete_ids(warehouse.read_table(table))
+            said = pending_documents(store.documents(), complete, record_type)
+            assert sorted(r.document_key for r in mine.collect()) == sorted(r.document_key for r in said.collect())
+            plan = mine._jdf.queryExecution().optimizedPlan().toString().splitlines()
+            at = next(k for k, line in enumerate(plan) if "LeftAnti" in line)
+            # what is read for the anti join: keys and times, no payloads
+            below = [line for line in plan[at:] if "Project" in line or "Aggregate" in line]
+            assert below and not any("payload" in line for line in below)
+        transform_all(store, warehouse, AS_OF)
+
+
+def test_batches_with_a_death_between_two_writes_equal_one_batch(spark, tmp_path, store):
+    landing = str(tmp_path / "landing")
+    for row in all_records(spark).collect():
+        documents(spark, tuple(row)).write.mode("append").json(landing)
+
+    class Dies(DocumentStore):
+        def load_manifest(self, keys, load=None):
+            if load.endswith("-1"):
+                raise RuntimeError("died between two writes")
+            return super().load_manifest(keys, load)
+
+    def run(into):
+        ingest_stream(landed_records(spark, landing, 1), into, AS_OF, str(tmp_path / "cp"), available_now=True).awaitTermination()
+
+    with pytest.raises(Exception, match="died between"):
+        run(Dies(spark, store.root))
+    run(store)
+    assert len(store._loads("documents")) == 5
+    other = DocumentStore(spark, str(tmp_path / "other")).create()
+    ingest_batch(all_records(spark), other, AS_OF, "one")
+    columns = ("document_key", "record_type", "up_to_date", "payload")
+    assert sorted(tuples(store.documents().select(*columns))) == sorted(tuples(other.documents().select(*columns)))
+    assert sorted(tuples(store.manifest())) == sorted(tuples(other.manifest()))
+
+
+def test_stages_take_only_what_earlier_ones_found(spark, tmp_path, store):
+    landed = [*all_records(spark).filter("record_type <> 'other'").collect(), ("999", "game", json.dumps(GAME)), ("888", "player", json.dumps(PLAYER))]
+    for row in landed:
+        documents(spark, tuple(row)).write.mode("append").json(f"{tmp_path}/landing/{tuple(row)[1]}")
+    worklist.ingest_staged(spark, f"{tmp_path}/landing", store, AS_OF, f"{tmp_path}/cp", listed_only=True, files=1)
+    assert sorted(tuples(store.documents(), "record_type", "document_key")) == [
+        ("game", "11"), ("player", "71"), ("schedule", "2024-03-01"), ("standings", "2024")]
