@@ -95,7 +95,8 @@ def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
         endDate=F.date_format(F.date_add("o_orderdate", (F.col("o_custkey") % 12).cast("int")), MINUTE_TEXT),
     )
     return _documents(
-        table(spark, sf_dir, "orders"),
+        # dealt out by key: the file may be one row group, and then all JSON would be made in one task
+        table(spark, sf_dir, "orders").repartition("o_orderkey"),
         F.col("o_orderkey"),
         "schedule",
         _page(events=events, season=season),
