@@ -8,8 +8,9 @@ from courtflow.plans.queries import registry
 
 QUERIES = registry()
 # these run jobs while they are built; their plans only read the result
-EAGER = {"write_batch", "transform_games", "transform_counts", "append_documents",
-         "ingest_stream_documents", "ingest_stream_manifest"}
+EAGER = {"write_batch", "transform_games", "transform_counts", "transform_contents", "append_documents",
+         "ingest_stream_documents", "ingest_stream_manifest", "ingest_batches_documents", "ingest_batches_manifest",
+         "ingest_two_streams", "compact_documents", "ingest_staged_documents", "ingest_staged_worklist"}
 
 
 @pytest.fixture(scope="module")
@@ -47,3 +48,16 @@ def test_entry(spark):
 
     assert contract.entry(spark).count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_entry_without_a_library_keeps_the_other_queries(monkeypatch):
+    import sys
+
+    import __spark_entry__ as contract
+
+    for name in [m for m in sys.modules if m.startswith("courtflow.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    # as if the library were not installed
+    for library in ("regex", "tokenizers"):
+        monkeypatch.setitem(sys.modules, library, None)
+    assert set(QUERIES) <= set(contract.queries())
