@@ -182,10 +182,9 @@ class DocumentStore:
         directories that are no longer read and go with the next call. No load may be written meanwhile.
         """
         named = {}
-        day = F.to_date("document_timestamp")
         for name, ddl, by, near in (
-            ("documents", DOCUMENTS_DDL, ["record_type"], [F.col("record_type"), day]),
-            ("manifest", f"{MANIFEST_DDL}, part INT", ["record_type", "part"], [F.col("record_type"), F.col("part")]),
+            ("documents", DOCUMENTS_DDL, ["record_type"], F.to_date("document_timestamp")),
+            ("manifest", f"{MANIFEST_DDL}, part INT", ["record_type", "part"], F.col("part")),
         ):
             compacted = self._compacted(name)
             gone = {load for loads in compacted.values() for load in loads}
@@ -195,8 +194,9 @@ class DocumentStore:
             if len(loads) < least:
                 continue
             new = f"{_REWRITE}{uuid.uuid4().hex}"
-            rows = self._read(name, ddl).drop("load").hint("rebalance", *near)
-            self._write(rows.sortWithinPartitions(*near), name, new, by)
+            rows = self._read(name, ddl).drop("load").withColumn("_near", near)
+            rows = rows.hint("rebalance", F.col("record_type"), F.col("_near"))
+            self._write(rows.sortWithinPartitions("record_type", "_near").drop("_near"), name, new, by)
             made = self.spark.createDataFrame([(new, sorted({*loads, *gone}))], _COMPACTED_DDL)
             # what earlier rewrites replaced is named again, so the newest name tells all
             made.coalesce(1).write.mode("errorifexists").json(f"{self.root}/compacted-{name}/as={new}")
