@@ -1,16 +1,17 @@
 """Similarity join of word n-gram sets: rare-first prefixes, then length, positional and suffix filters.
 
-1. Document frequencies of shingles are summed over all rows in a table of fixed width (a hash of
-   the shingle names its entry). Any fixed order of shingles gives right prefixes; this one puts
-   shingles first that are rare, or are no commoner than one part in WIDTH of all places.
+1. Words are counted over all rows in a table of fixed width (a hash of the word names its entry).
+   A shingle is no commoner than its rarest word, so shingles are ordered by that word's count; any
+   fixed order gives right prefixes. Words are far fewer than shingles and grow more slowly.
 2. A set of n shingles that reaches similarity t with another shares one of its first
    n - ceil(t n) + 1 shingles with it. Equal sets become one class first, by a 128-bit digest, so
    copies meet nobody. Only prefix shingles that two classes share go on.
 3. Every class is compared with the smallest of each of its prefix shingles. Groups of near
    copies, however large, become one component by as many links as they have members.
 4. What is left are classes that share a prefix shingle but not yet a component. They are joined on
-   it under the length, the positional and the suffix filter: the last compares parity bitmaps of
-   the sets, whose differing bits are at most as many as the differing shingles.
+   it under the length, the positional and the suffix filter. The last is a bound on whole sets
+   that stands for the recursive one on suffixes: parity bitmaps differ in no more bits than the
+   sets in shingles. Step 3 has no positional filter, as its smallest class may lie anywhere.
 5. Pairs left are verified once with the whole sets.
 
 Pairs within a component are left out, and no others: components are those of all links. Texts
@@ -19,7 +20,8 @@ move twice at most, and only keys, sizes and bitmaps are joined on shingles.
 Words are runs of other characters than white space, with A-Z in lower case. A text with fewer words
 than n has its whole sequence as its one shingle; a null text, or one without words, has an empty set
 and no links. Rows with equal doc_id and text count once and each get the result; a null doc_id has
-no links and a null component. An empty table gives no rows. Only doc_id and text are read.
+no links and a null component. Several texts of one doc_id are one document, which links with what any
+of them links with. An empty table gives no rows. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -40,31 +42,35 @@ BITMAP = 512
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
-def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each text as hashes, in ascending order, and len + 1 offsets."""
+def shingle_sets(texts: pa.Array, n: int, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of each text as hashes, in ascending order, len + 1 offsets, and the count
+    of the rarest word of each."""
     words = find_words(texts, NOT_SPACE, lower=True)
     at, text = starts_of_runs(words.first, n)
     hashes = rolling(words.hashes, n)[at]
+    count = common[_entry(words.hashes)] if common is not None else np.zeros(len(words.hashes), np.uint32)
+    rare = np.minimum.reduce([count[at + k] for k in range(n)]) if len(at) else count[:0]
     counts = np.diff(words.first)
     few = np.flatnonzero((counts > 0) & (counts < n))
     if len(few):
         lone = [rolling(words.hashes[words.first[k] : words.first[k + 1]], counts[k])[0] for k in few]
         hashes = np.concatenate([hashes, mix(np.array(lone, np.uint64) + counts[few].astype(np.uint64))])
         text = np.concatenate([text, few])
+        rare = np.concatenate([rare, [count[words.first[k] : words.first[k + 1]].min() for k in few]])
     order = np.lexsort((hashes, text))
-    hashes, text = hashes[order], text[order]
+    hashes, text, rare = hashes[order], text[order], rare[order]
     if len(hashes):
         new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])])
-        hashes, text = hashes[new], text[new]
-    return hashes, np.searchsorted(text, np.arange(len(texts) + 1))
+        hashes, text, rare = hashes[new], text[new], rare[new]
+    return hashes, np.searchsorted(text, np.arange(len(texts) + 1)), rare
 
 
 def _entry(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - WIDTH_BITS)).astype(np.int64)
 
 
-def frequencies(docs: DataFrame, n: int) -> np.ndarray:
-    """Document counts of all shingles, summed by entry; the table's size does not grow with the data."""
+def frequencies(docs: DataFrame) -> np.ndarray:
+    """Counts of all words, summed by entry; the table's size does not grow with the data."""
     size, chunks = 1 << CHUNK_BITS, 1 << (WIDTH_BITS - CHUNK_BITS)
     fields = pa.schema([("chunk", pa.int32()), ("counts", pa.binary())])
 
@@ -72,11 +78,12 @@ def frequencies(docs: DataFrame, n: int) -> np.ndarray:
         total = np.zeros(1 << WIDTH_BITS, np.int64)
         for batch in batches:
             for piece in slices(batch):
-                total += np.bincount(_entry(shingle_sets(piece.column("text"), n)[0]), minlength=len(total))
+                words = find_words(piece.column("text"), NOT_SPACE, lower=True)
+                total += np.bincount(_entry(words.hashes), minlength=len(total))
         for c in range(chunks):
             part = total[c * size : (c + 1) * size]
             if part.any():
-                yield pa.record_batch([pa.array([c], pa.int32()), pa.array([part.astype(np.uint32).tobytes()])], schema=fields)
+                yield pa.record_batch([pa.array([c], pa.int32()), pa.array([np.minimum(part, 2**32 - 1).astype(np.uint32).tobytes()])], schema=fields)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -99,14 +106,14 @@ def frequencies(docs: DataFrame, n: int) -> np.ndarray:
 def _summaries(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Size, digest, bitmap and rare-first prefix of each row's set."""
     spark = docs.sparkSession
-    common = spark.sparkContext.broadcast(frequencies(docs, n))
+    common = spark.sparkContext.broadcast(frequencies(docs))
     fields = pa.schema([
         ("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
         ("bits", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())),
     ])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes, first = shingle_sets(batch.column("text"), n)
+        hashes, first, rare = shingle_sets(batch.column("text"), n, common.value)
         size = np.diff(first)
         text = np.repeat(np.arange(len(size)), size)
         sums = np.zeros((2, len(hashes) + 1), np.uint64)
@@ -116,7 +123,7 @@ def _summaries(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         spots = np.bincount(text * BITMAP + ((hashes >> np.uint64(7)) % np.uint64(BITMAP)).astype(np.int64),
                             minlength=len(size) * BITMAP)
         bits = np.packbits((spots & 1).astype(np.uint8)).view(np.int64)
-        order = np.lexsort((hashes, common.value[_entry(hashes)], text))
+        order = np.lexsort((hashes, rare, text))
         length = np.where(size > 0, size - (size * num + den - 1) // den + 1, 0)
         place = np.arange(len(hashes)) - np.repeat(first[:-1], size)
         prefix = hashes[order][place < np.repeat(length, size)].view(np.int64)
@@ -143,22 +150,25 @@ def _may_link(a: str, b: str, num: int, den: int) -> Column:
     )
 
 
-def _links(scratch: Scratch, pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the similarity; each is verified once."""
+def _links(scratch: Scratch, pairs: DataFrame, places: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The pairs of classes (a, b) whose whole sets reach the similarity; each is verified once.
+
+    places names a text (doc_id, th) of every class (id).
+    """
     pairs = scratch.stored(pairs, "pairs")
-    wanted = scratch.stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = scratch.stored(places.join(wanted, "id", "left_semi"), "wanted")
     fields = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes, first = shingle_sets(batch.column("text"), n)
-        return pa.record_batch([batch.column("doc_id").cast(pa.int64()), pa.array(
+        hashes, first, _ = shingle_sets(batch.column("text"), n)
+        return pa.record_batch([batch.column("id"), pa.array(
             [hashes[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)], pa.binary())], schema=fields)
 
-    # several texts of one doc_id would be one document; the first by text stands for it
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
-    texts = with_keys(texts, wanted, ["doc_id"], "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").where("text is not null")
+    texts = with_keys(texts, wanted, ["doc_id", "th"], "inner").select("id", "text")
     whole = scratch.stored(map_slices(texts, sets, "id long, shingles binary"), "shingles")
-    if whole.count() > wanted.count():  # rows of one doc_id
+    if whole.count() > wanted.count():  # rows that are equal
         several = whole
         whole = scratch.stored(several.groupBy("id").agg(F.min("shingles").alias("shingles")), "shingles")
         scratch.drop(several)
@@ -183,23 +193,25 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> D
     """doc_id, th (a hash of the text), n_shingles and component_id of each row, for similarity num / den."""
     scratch = Scratch(docs.sparkSession)
     rows = scratch.stored(_summaries(docs, n, num, den), "sets")
-    known = rows.where("doc_id is not null and n > 0")
-    classes = known.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"))
-    members = known.select("doc_id", "th", "n", "h1", "h2").distinct().join(classes, ["n", "h1", "h2"]).select("doc_id", "th", "id")
+    known = rows.where("doc_id is not null and n > 0").withColumn("id", F.xxhash64("n", "h1", "h2"))
+    # a class of equal sets, by a digest; it is named by 64 bits of it, and held by its smallest row
     reps = scratch.stored(
-        known.join(classes.withColumnRenamed("id", "doc_id"), ["doc_id", "n", "h1", "h2"], "left_semi")
-        .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n", "bits", "prefix"), "classes")
-    tokens = reps.select("id", "n", F.posexplode("prefix").alias("place", "t"))
+        known.groupBy("id").agg(F.min(F.struct("doc_id", "th")).alias("row"), F.min("n").alias("n"))
+        .select("id", "row.doc_id", "row.th", "n"), "classes")
+    facts = with_keys(known, reps.select("id", "doc_id", "th"), ["id", "doc_id", "th"], "left_semi").dropDuplicates(["id"])
+    facts = scratch.stored(facts.select("id", "n", "bits", "prefix"), "facts")
+    tokens = facts.select("id", "n", F.posexplode("prefix").alias("place", "t"))
     shared = tokens.groupBy("t").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head < tail")
     posts = scratch.stored(tokens.join(shared.select("t", "head"), "t"), "posts")
+    facts = facts.drop("prefix")
 
     # every class with the smallest of each of its shingles
-    facts = reps.select("id", "n", "bits")
     heads = posts.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     one = facts.select(F.col("id").alias("a"), F.struct("n", "bits").alias("x"))
     two = facts.select(F.col("id").alias("b"), F.struct("n", "bits").alias("y"))
     heads = heads.join(one, "a").join(two, "b").where(_may_link("x", "y", num, den)).select("a", "b")
-    first = _links(scratch, heads, docs, n, num, den)
+    places = reps.select("id", "doc_id", "th")
+    first = _links(scratch, heads, places, docs, n, num, den)
     found = components(first)
 
     # classes that share a shingle but no component
@@ -215,15 +227,25 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> D
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    second = _links(scratch, rest, docs, n, num, den)
+    second = _links(scratch, rest, places, docs, n, num, den)
     scratch.drop(left_over, posts)
-    groups = components(first.unionByName(second))
-    placed = members.join(groups, "id", "left").select(
-        "doc_id", "th", F.coalesce("component_id", "id").alias("component_id"))
+
+    # texts of one doc_id are one document: each of its classes goes with the smallest of them
+    members = known.select("doc_id", "th", "id").distinct()
+    several = members.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("doc_id", "a")
+    same = with_keys(members, several.select("doc_id"), ["doc_id"], "left_semi").join(several, "doc_id").where("a <> id")
+    groups = components(first.unionByName(second).unionByName(same.select("a", F.col("id").alias("b"))))
+    # a component is named by the smallest doc_id in it
+    named = reps.select("id", F.col("doc_id").alias("low")).join(groups, "id")
+    named = named.select("id", "component_id", "low").join(
+        named.groupBy("component_id").agg(F.min("low").alias("least")), "component_id").select("id", "least")
+    lowest = reps.select("id", F.col("doc_id").alias("low")).join(named, "id", "left").select(
+        "id", F.coalesce("least", "low").alias("component_id"))
     out = (
-        rows.select("doc_id", "th", F.col("n").alias("n_shingles"))
-        .join(placed.groupBy("doc_id", "th").agg(F.min("component_id").alias("component_id")), ["doc_id", "th"], "left")
-        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
+        rows.withColumn("id", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.xxhash64("n", "h1", "h2")))
+        .select("doc_id", "th", F.col("n").alias("n_shingles"), "id")
+        .join(lowest, "id", "left")
+        .select("doc_id", "th", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     )
     return scratch.result(out, "groups")
 
