@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtflow.llm.common import map_slices, table
+from courtflow.llm.common import Scratch, map_slices, table
 from courtflow.llm.words import find_words, hash_ranges, slices
 
 SAMPLE = 6_000
@@ -77,6 +77,15 @@ def tokens(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarra
     return (both >> np.uint64(32)).astype(np.int64), both.astype(np.uint32), np.diff(words.first)
 
 
+def shape(texts: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """Votes of shape of each text, whose numbers of words are given: shouting, exclaiming."""
+    out = np.zeros((len(texts), 2), np.uint8)
+    for k, t in enumerate(texts.to_pylist()):
+        if t:
+            out[k] = t.isupper(), t.count("!") * 20 > sizes[k]
+    return out
+
+
 def tokens_of(words: list[str]) -> np.ndarray:
     return (find_words(pa.array([" ".join(words)]), LETTERS, lower=True).hashes >> np.uint64(32)).astype(np.uint32)
 
@@ -98,10 +107,7 @@ class Voters:
         text, token, sizes = tokens(texts, self.keys)
         out = np.zeros((len(texts), len(self.names)), np.uint8)
         out[text, np.searchsorted(self.keys, token)] = 1
-        for k, t in enumerate(texts.to_pylist()):
-            if t:
-                out[k, -2] = t.isupper()
-                out[k, -1] = t.count("!") * 20 > sizes[k]
+        out[:, -2:] = shape(texts, sizes)
         return out
 
 
@@ -259,43 +265,100 @@ def learned(docs: DataFrame, labels: DataFrame | None, teach: Column) -> tuple[C
         # labelled rows by the same hash on both sides, so that few texts move
         labelled = docs.where(_spot(1) < min(1.0, SAMPLE / max(known, 1))).join(given, "doc_id")
         texts = texts.join(given.select("doc_id"), "doc_id", "left_anti").unionByName(labelled)
-    fields = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("tokens", pa.binary())])
+    fields = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("tokens", pa.binary()), ("shape", pa.list_(pa.int8()))])
 
     def distinct(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text, token, _ = tokens(batch.column("text"))
+        text, token, sizes = tokens(batch.column("text"))
         first = np.searchsorted(text, np.arange(batch.num_rows + 1))
-        return pa.record_batch([batch.column("doc_id"), batch.column("toxic"), pa.array(
-            [token[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)], pa.binary())], schema=fields)
-
-    sample = map_slices(texts, distinct, "doc_id long, toxic int, tokens binary").toArrow()  # about 2 x SAMPLE rows
-    order = np.argsort(np.array([-1 if i is None else i for i in sample["doc_id"].to_pylist()], np.int64), kind="stable")
-    sets = [np.frombuffer(w, np.uint32) for w in sample["tokens"].to_pylist()]
-    rows = np.repeat(np.arange(len(sets)), [len(sets[k]) for k in order])
-    token = np.concatenate([*(sets[k] for k in order), np.zeros(0, np.uint32)])
-    truth = np.array([-1 if t is None else int(t > 0) for t in sample["toxic"].to_pylist()], int)[order]
+        return pa.record_batch([
+            batch.column("doc_id"), batch.column("toxic"),
+            pa.array([token[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)], pa.binary()),
+            pa.array(shape(batch.column("text"), sizes).tolist(), pa.list_(pa.int8())),
+        ], schema=fields)
+
+    scratch = Scratch(spark)
+    rows = map_slices(texts, distinct, "doc_id long, toxic int, tokens binary, shape array<tinyint>")
+    sample = scratch.stored(rows.select(F.monotonically_increasing_id().alias("row"), "*"), "sample")
+    known_rows = sample.select("row", "doc_id", "toxic", "shape").toArrow()  # about 2 x SAMPLE rows, without tokens
+    names = known_rows["row"].to_numpy()
+    order = np.lexsort((names, np.array([-1 if i is None else i for i in known_rows["doc_id"].to_pylist()], np.int64)))
+    place = {r: k for k, r in enumerate(names[order].tolist())}
+    truth = np.array([-1 if t is None else int(t > 0) for t in known_rows["toxic"].to_pylist()], int)[order]
 
     named = dict(zip(tokens_of(LEXICON.split()).tolist(), LEXICON.split(), strict=True))
-    named = {k: f"token-{k:08x}" for k in _telling(rows, token, truth)} | named
+    toxic, clean = int((truth == 1).sum()), int((truth == 0).sum())
+    if toxic >= 5 and clean >= 5:
+        telling = _sums(sample.where("toxic is not null"), {r: float(truth[k]) for r, k in place.items()})
+        bad, good = F.col("target"), F.col("n") - F.col("target")
+        telling = telling.where((bad >= max(3, 0.01 * toxic)) & (bad / toxic > 20 * good / clean) & (bad >= 4 * good))
+        owner, token = _places(sample.where("toxic is not null"), telling, place)
+        named = {k: f"token-{k:08x}" for k in _telling(owner, token, truth)} | named
     voters = Voters.of(named)
     n, both = _vote_counts(docs, voters)
     if given is None or share is None:
         share = float(np.clip(both.diagonal()[:-2].max() / max(n, 1), 1e-3, 0.5)) if len(voters.keys) else 0.05
     model = label_model(n, both, float(share))
-    # the sample's votes by tokens; shape speaks in the label model's rates only
-    votes = np.zeros((len(sets), len(voters.names)), np.uint8)
-    at = np.minimum(np.searchsorted(voters.keys, token), len(voters.keys) - 1)
-    hit = voters.keys[at] == token
-    votes[rows[hit], at[hit]] = 1
+    votes = np.zeros((len(place), len(voters.names)), np.uint8)
+    owner, token = _places(sample, spark.createDataFrame([(k,) for k in voters.keys.tolist()], "token long"), place)
+    votes[owner, np.searchsorted(voters.keys, token)] = 1
+    if len(place):
+        votes[:, -2:] = np.array(known_rows["shape"].to_pylist(), np.uint8)[order]
     target = model.posterior(votes)
-    out = Classifier(*sparse_logistic(rows, token, len(sets), target))
-    if (truth == 1).sum() >= 5 and (truth == 0).sum() >= 5:
+    # tokens whose mean target is off the overall one; the regression looks at these alone
+    mean = float(target.mean()) if len(target) else 0.5
+    usual = min(max(mean, 1e-3), 0.999)
+    sums = _sums(sample, {r: float(target[k]) for r, k in place.items()})
+    off = F.abs(F.col("target") / F.col("n") - usual) > 4 * F.sqrt(usual * (1 - usual) / F.col("n"))
+    owner, token = _places(sample, sums.where((F.col("n") >= 5) & off), place)
+    scratch.drop(sample)
+    out = Classifier(*sparse_logistic(owner, token, len(place), target))
+    if toxic >= 5 and clean >= 5:
         at = np.minimum(np.searchsorted(out.keys, token), max(len(out.keys) - 1, 0))
         hit = out.keys[at] == token if len(out.keys) else np.zeros(len(token), bool)
-        odds = out.bias + np.bincount(rows[hit], out.weights[at[hit]], len(sets))
+        odds = out.bias + np.bincount(owner[hit], out.weights[at[hit]], len(place))
         out.slope, out.shift = _mapped(odds[truth >= 0], truth[truth >= 0])
     return out, model, voters
 
 
+def _sums(sample: DataFrame, targets: dict[int, float]) -> DataFrame:
+    """token, n and target: rows of the sample with a token, and the sum of their targets."""
+    shared = sample.sparkSession.sparkContext.broadcast(targets)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [np.frombuffer(w, np.uint32) for w in batch.column("tokens").to_pylist()]
+        own = [shared.value[r] for r in batch.column("row").to_pylist()]
+        token, at = np.unique(np.concatenate([*sets, np.zeros(0, np.uint32)]), return_inverse=True)
+        target = np.bincount(at, np.repeat(own, [len(x) for x in sets]), len(token))
+        return pa.record_batch([pa.array(token.astype(np.int64)), pa.array(np.bincount(at, minlength=len(token))), pa.array(target)],
+                               names=["token", "n", "target"])
+
+    rows = map_slices(sample.select("row", "tokens"), run, "token long, n long, target double", column="tokens")
+    return rows.groupBy("token").agg(F.sum("n").alias("n"), F.sum("target").alias("target"))
+
+
+def _places(sample: DataFrame, chosen: DataFrame, place: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and tokens where rows of the sample have chosen tokens, by row and token.
+
+    Only these come to the driver.
+    """
+    wanted = np.array(sorted(r.token for r in chosen.select("token").collect()), np.uint32)
+    shared = sample.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kept = []
+        for w in batch.column("tokens").to_pylist():
+            own = np.frombuffer(w, np.uint32)
+            kept.append(own[np.isin(own, shared.value)].tobytes())
+        return pa.record_batch([batch.column("row"), pa.array(kept, pa.binary())], names=["row", "tokens"])
+
+    found = map_slices(sample.select("row", "tokens"), run, "row long, tokens binary", column="tokens").toArrow()
+    sets = [np.frombuffer(w, np.uint32) for w in found["tokens"].to_pylist()]
+    rows = np.repeat(np.array([place[r] for r in found["row"].to_pylist()], np.int64), [len(x) for x in sets])
+    token = np.concatenate([*sets, np.zeros(0, np.uint32)])
+    order = np.lexsort((token, rows))
+    return rows[order], token[order]
+
+
 def _telling(rows: np.ndarray, token: np.ndarray, truth: np.ndarray, cover: int = 3) -> list[int]:
     """Tokens that speak for toxic labels: hardly any clean document has them.
 
