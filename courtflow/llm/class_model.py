@@ -43,7 +43,7 @@ CLASSES = 128
 ROUNDS = 4
 TASKS = 64
 END = np.uint64(0x9D1C5B8E52F4A7E3)
-_UNKNOWN = -1
+UNKNOWN = 255  # a class is a byte, so CLASSES may be 255 at most
 
 
 class Core(NamedTuple):
@@ -107,8 +107,11 @@ def core_of(counts: DataFrame, size: int) -> Core:
 
 
 def as_numbers(docs: DataFrame, core: Core, size: int) -> DataFrame:
-    """Texts in numbers: row, doc_id, held, codes (ranks in the core, or size + place in `other`), other (hashes)."""
-    fields = pa.schema([("doc_id", pa.int64()), ("held", pa.bool_()), ("codes", pa.list_(pa.int32())), ("other", pa.list_(pa.int64()))])
+    """Texts in numbers: row, doc_id, held, codes (ranks in the core, or size + place in `other`), wide, other (hashes).
+
+    Codes are bytes, two a code or, where a text is wide, four.
+    """
+    fields = pa.schema([("doc_id", pa.int64()), ("held", pa.bool_()), ("codes", pa.binary()), ("wide", pa.bool_()), ("other", pa.list_(pa.int64()))])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = find_words(batch.column("text"), NOT_SPACE, lower=True)
@@ -122,17 +125,26 @@ def as_numbers(docs: DataFrame, core: Core, size: int) -> DataFrame:
         begins = np.searchsorted(text[new], np.arange(batch.num_rows + 1))
         codes[away[order]] = size + np.cumsum(new) - 1 - begins[text]
         codes = np.insert(codes, words.first[1:], 0)  # the end of each text
+        first = words.first + np.arange(len(words.first))
+        wide = size + np.diff(begins) > 1 << 16
         return pa.record_batch([
             batch.column("doc_id"), batch.column("held"),
-            pa.ListArray.from_arrays(pa.array(words.first + np.arange(len(words.first)), pa.int32()), pa.array(codes, pa.int32())),
-            pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(h[new].view(np.int64))),
+            pa.array([codes[a:b].astype("<u4" if w else "<u2").tobytes() for a, b, w in zip(first, first[1:], wide, strict=False)], pa.binary()),
+            pa.array(wide), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(h[new].view(np.int64))),
         ], schema=fields)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held"), "text")
-    rows = map_slices(rows, run, "doc_id long, held boolean, codes array<int>, other array<long>")
+    rows = map_slices(rows, run, "doc_id long, held boolean, codes binary, wide boolean, other array<long>")
     return rows.select(F.monotonically_increasing_id().alias("row"), "*")
 
 
+def _codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of all texts and len + 1 offsets."""
+    parts = [np.frombuffer(c, "<u4" if w else "<u2")
+             for c, w in zip(batch.column("codes").to_pylist(), batch.column("wide").to_pylist(), strict=True)]
+    return np.concatenate([x.astype(np.int64) for x in parts]), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+
+
 def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """The values of all lists and len + 1 offsets."""
     sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
@@ -147,28 +159,16 @@ def _before(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _summed(*keys: np.ndarray, n: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct keys and how often (or with what sum of n) they occur."""
-    order = np.lexsort(keys)
-    keys = [k[order] for k in keys]
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    at = np.flatnonzero(new)
-    counts = np.diff(np.append(at, len(order))) if n is None else np.add.reduceat(n[order], at) if len(at) else n[:0]
-    return [k[at] for k in keys], counts
-
-
 def core_pairs(texts: DataFrame, size: int) -> DataFrame:
     """a, b, n: how often a word of the core stands before another in training texts."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codes, first = _lists(batch.column("codes"))
+        codes, first = _codes(batch)
         before = _before(codes, first)
         both = (codes < size) & (before < size)
-        (pairs,), n = _summed(before[both].astype(np.int64) * size + codes[both])
-        return pa.record_batch([pa.array(pairs), pa.array(n, pa.int64())], names=["pair", "n"])
+        pairs, n = np.unique(before[both] * size + codes[both], return_counts=True)
+        return pa.record_batch([pa.array(pairs, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
 
-    pairs = map_slices(texts.where("not held").select("codes"), run, "pair long, n long", column="codes", most=8 << 20)
+    pairs = map_slices(texts.where("not held").select("codes", "wide"), run, "pair long, n long", column="codes", most=1 << 20)
     return pairs.groupBy("pair").agg(F.sum("n").alias("n")).select(
         F.floor(F.col("pair") / size).cast("int").alias("a"), (F.col("pair") % size).cast("int").alias("b"), "n")
 
@@ -192,11 +192,12 @@ def _cells(batches: DataFrame, classes: int) -> np.ndarray:
 
 
 def class_pairs(pairs: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
-    """How often a class stands before another, after pairs of words."""
+    """How often a class stands before another, from pairs of words."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         a, b, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "n"))
-        (cells,), n = _summed(of[a] * classes + of[b], n=n)
-        return pa.record_batch([pa.array(cells, pa.int64()), pa.array(n, pa.int64())], names=["cell", "n"])
+        sums = np.bincount(of[a] * classes + of[b], n, classes * classes).astype(np.int64)  # exact up to 2^53
+        cells = np.flatnonzero(sums)
+        return pa.record_batch([pa.array(cells, pa.int64()), pa.array(sums[cells])], names=["cell", "n"])
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return (run(b) for b in gathered(rows, "n", 8 << 20) if b.num_rows)
@@ -224,7 +225,8 @@ def gains(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, t
     columns[np.arange(len(p)), p] = 0
     middle = left.diagonal()
     gain = rows.sum(axis=1) + columns.sum(axis=0) + _xlogx(middle + after + before + twice) - _xlogx(middle)
-    for total, more in ((left.sum(axis=1), after.sum()), (left.sum(axis=0), before.sum())):
+    # its neighbours' pairs with it count in their classes' sums wherever it goes
+    for total, more in ((left.sum(axis=1) + before, after.sum()), (left.sum(axis=0) + after, before.sum())):
         gain -= _xlogx(total + more + twice) - _xlogx(total)
     return gain
 
@@ -269,36 +271,35 @@ def cluster(pairs: DataFrame, near: DataFrame, words: int, size: int, classes: i
 def joined_classes(texts: DataFrame, of: np.ndarray, matrix: np.ndarray, size: int, classes: int) -> DataFrame:
     """h, class of words outside the core that stand next to a word of it in training texts."""
     def contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codes, first = _lists(batch.column("codes"))
+        codes, first = _codes(batch)
         other, begins = _lists(batch.column("other"))
         text = np.repeat(np.arange(len(first) - 1), np.diff(first))
         before = _before(codes, first)
-        found = [], []
-        # a word after one of the core, and one before it
-        for word, near, side in ((codes, before, 0), (before, codes, classes)):
-            at = np.flatnonzero((word >= size) & (near < size))
-            found[0].append(other[begins[text[at]] + word[at] - size])
-            found[1].append(of[near[at]] + side)
-        (h, code), n = _summed(np.concatenate(found[0]), np.concatenate(found[1]))
-        return pa.record_batch([pa.array(h, pa.int64()), pa.array(code, pa.int32()), pa.array(n, pa.int64())], names=["h", "code", "n"])
+        # a text ends in a word of the core, so what follows lies in the same text
+        at = np.flatnonzero(codes >= size)
+        sides = [np.where(near < size, of[np.where(near < size, near, 0)], classes) for near in (before[at], codes[at + 1])]
+        code = sides[0] * (classes + 1) + sides[1]
+        return pa.record_batch([pa.array(other[begins[text[at]] + codes[at] - size], pa.int64()), pa.array(code, pa.int32())], names=["h", "code"])
 
     smooth = matrix + 0.01
     after = np.log(smooth / smooth.sum(axis=0))  # row: the class before, column: the class joined
     before = np.log(smooth.T / smooth.sum(axis=1))  # row: the class behind
-    likely = np.vstack([after, before])
-    likely[:, 0] = -1e9
+    # the last row is for a neighbour outside the core, which says nothing
+    after, before = (np.vstack([x, np.zeros(classes)]) for x in (after, before))
 
     def choose(batch: pa.RecordBatch) -> pa.RecordBatch:
         code, offsets = _lists(batch.column("code"))
         n, _ = _lists(batch.column("n"))
-        scores = np.add.reduceat(likely[code] * n[:, None], offsets[:-1])
+        scores = np.add.reduceat((after[code // (classes + 1)] + before[code % (classes + 1)]) * n[:, None], offsets[:-1])
+        scores[:, 0] = -np.inf
         return pa.record_batch([batch.column("h"), pa.array(scores.argmax(axis=1), pa.int32())], names=["h", "class"])
 
-    rows = map_slices(texts.where("not held").select("codes", "other"), contexts, "h long, code int, n long", column="codes", most=8 << 20)
-    # one shuffle serves both groupings
-    lists = rows.repartition("h").groupBy("h", "code").agg(F.sum("n").alias("n")).groupBy("h").agg(
+    rows = map_slices(texts.where("not held").select("codes", "wide", "other"), contexts, "h long, code int", column="codes", most=1 << 20)
+    # one shuffle serves both groupings; a word outside the core is too rare to be hot
+    lists = rows.repartition("h").groupBy("h", "code").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(
         F.collect_list(F.struct("code", "n")).alias("x")).select("h", "x.code", "x.n")
-    return map_slices(lists, choose, "h long, class int", column="code")
+    # a number for each class and neighbour, so few words at once
+    return map_slices(lists, choose, "h long, class int", column="code", most=1 << 17)
 
 
 def train(scratch: Scratch, docs: DataFrame, size: int = CORE, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
@@ -325,53 +326,67 @@ def train(scratch: Scratch, docs: DataFrame, size: int = CORE, classes: int = CL
     return Model(core, of, words, totals, sums[0] or 0, sums[1], sums[2]), texts
 
 
-def with_classes(texts: DataFrame, model: Model, size: int = CORE) -> DataFrame:
-    """Per text: n_tokens, n_known, base_score, emission (log10 of words given their classes) and the classes of its tokens."""
+def with_classes(scratch: Scratch, texts: DataFrame, model: Model, size: int = CORE) -> DataFrame:
+    """Per text: n_tokens, n_known, base_score, emission (log10 of words given their classes) and the classes of its tokens.
+
+    Classes are bytes, UNKNOWN for a word that training never saw.
+    """
     other = texts.select("row", F.posexplode("other").alias("place", "h"))
     found = other.join(model.words, "h").groupBy("row").agg(F.collect_list(F.struct("place", "class", "n")).alias("found"))
-    found = texts.join(found.select("row", "found.place", "found.class", "found.n"), "row", "left")
+    # written, so that what led to it can go before texts are moved
+    found = scratch.stored(found.select("row", "found.place", "found.class", "found.n"), "found")
+    _release(scratch.spark)
+    texts = texts.withColumn("n_other", F.size("other")).drop("other").join(found, "row", "left")
     core, of, totals = model.core, model.core_classes, model.totals
     known = model._replace(words=None)
     fields = pa.schema([("doc_id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                        ("base_score", pa.float64()), ("emission", pa.float64()), ("classes", pa.list_(pa.int16()))])
+                        ("base_score", pa.float64()), ("emission", pa.float64()), ("classes", pa.binary())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codes, first = _lists(batch.column("codes"))
-        other, begins = _lists(batch.column("other"))
+        codes, first = _codes(batch)
+        begins = np.concatenate([[0], np.cumsum(batch.column("n_other").to_numpy())])
         places, offsets = _lists(batch.column("place"))
         text = np.repeat(np.arange(len(first) - 1), np.diff(first))
         # counts and classes of the words outside the core, in the order of the texts' lists
-        n, kind = np.zeros(len(other) + 1, np.int64), np.full(len(other) + 1, _UNKNOWN, np.int64)
+        n, kind = np.zeros(begins[-1] + 1, np.int64), np.full(begins[-1] + 1, UNKNOWN, np.int64)
         at = np.repeat(begins[:-1], np.diff(offsets)) + places
         n[at], kind[at] = _lists(batch.column("n"))[0], _lists(batch.column("class"))[0]
         inside = codes < size
-        own = np.where(inside, len(other), begins[text] + codes - size)
+        own = np.where(inside, begins[-1], begins[text] + codes - size)
         rank = np.where(inside, codes, 0)
         counts = np.where(inside, core.counts[rank], n[own])
-        kinds = np.where(counts > 0, np.where(inside, of[rank], kind[own]), _UNKNOWN)
-        emission = np.where(counts > 0, np.log10(np.maximum(counts, 1) / np.maximum(totals[kinds], 1)), 0.0)
+        kinds = np.where(counts > 0, np.where(inside, of[rank], kind[own]), UNKNOWN)
+        total = np.append(totals, np.ones(UNKNOWN + 1 - len(totals)))[kinds]
+        emission = np.where(counts > 0, np.log10(np.maximum(counts, 1) / np.maximum(total, 1)), 0.0)
         add = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  every text has its end
+        data = kinds.astype(np.uint8)
         return pa.record_batch([
             batch.column("doc_id"), batch.column("held"), pa.array(np.diff(first), pa.int64()), pa.array(add((counts > 0).astype(np.int64))),
             pa.array(add(known.base(counts))), pa.array(add(emission)),
-            pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(kinds, pa.int16())),
+            pa.array([data[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)], pa.binary()),
         ], schema=fields)
 
-    return map_slices(found, run, "doc_id long, held boolean, n_tokens long, n_known long, base_score double, emission double, classes array<smallint>",
+    return map_slices(texts, run, "doc_id long, held boolean, n_tokens long, n_known long, base_score double, emission double, classes binary",
                       column="codes")
 
 
+def _kinds(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of the tokens of all texts and len + 1 offsets."""
+    lists = batch.column("classes").to_pylist()
+    return np.frombuffer(b"".join(lists), np.uint8).astype(np.int64), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+
+
 def transitions(read: DataFrame, classes: int) -> np.ndarray:
     """How often a class stands before another in training texts; texts begin behind an end."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        kinds, first = _lists(batch.column("classes"))
-        before, kinds = _before(kinds, first).astype(np.int64), kinds.astype(np.int64)
-        both = (before >= 0) & (kinds >= 0)
+        kinds, first = _kinds(batch)
+        before = _before(kinds, first)
+        both = (before != UNKNOWN) & (kinds != UNKNOWN)
         n = np.bincount(before[both] * classes + kinds[both], minlength=classes * classes)
         cells = np.flatnonzero(n)
         return pa.record_batch([pa.array(cells, pa.int64()), pa.array(n[cells], pa.int64())], names=["cell", "n"])
 
-    rows = map_slices(read.where("not held").select("classes"), run, "cell long, n long", column="classes", most=8 << 20)
+    rows = map_slices(read.where("not held").select("classes"), run, "cell long, n long", column="classes", most=1 << 20)
     return _cells(rows, classes)
 
 
@@ -391,16 +406,17 @@ def scores(docs: DataFrame, size: int = CORE, classes: int = CLASSES, rounds: in
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     scratch = Scratch(docs.sparkSession)
     model, texts = train(scratch, docs, size, classes, rounds)
-    read = scratch.stored(with_classes(texts, model, size), "classes")
-    scratch.drop(texts, model.words)
+    read = scratch.stored(with_classes(scratch, texts, model, size), "classes")
     _release(docs.sparkSession)
     step = smoothed(transitions(read, classes), model.totals)
     unknown, known = np.log10(model.unknown()), np.log10(1 - model.unknown()) if model.n else 0.0
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        kinds, first = _lists(batch.column("classes"))
+        kinds, first = _kinds(batch)
         before = _before(kinds, first)
-        each = np.where(kinds < 0, unknown, known + step[before, kinds])
+        seen = kinds != UNKNOWN
+        row, column = np.where(before == UNKNOWN, classes, before), np.where(seen, kinds, 0)
+        each = np.where(seen, known + step[row, column], unknown)
         score = np.add.reduceat(each, first[:-1]) + batch.column("emission").to_numpy()
         columns = ["doc_id", "held", "n_tokens", "n_known", "base_score"]
         return pa.record_batch([*(batch.column(c) for c in columns), pa.array(score)], names=[*columns, "score"])

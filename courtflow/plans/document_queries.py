@@ -194,6 +194,32 @@ SELECT o_orderkey, record_type, document_key,
 FROM r WHERE record_type<>'other'"""
 
 
+def complete_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games whose dates are written in several offsets, with and without seconds, or are no dates.
+
+    The day counts as written in its own offset.
+    """
+    k = F.col("o_orderkey") % 5
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = (
+        F.when(k == 0, F.concat(day, F.lit("T18:30Z")))
+        .when(k == 1, F.concat(day, F.lit("T23:30-0500")))
+        .when(k == 2, F.concat(day, F.lit("T00:30:00+02:00")))
+        .when(k == 3, F.concat(day, F.lit("T23:59:59.5Z")))
+        .otherwise(F.lit("to be announced"))
+    )
+    header = F.struct(F.array(F.struct(text.alias("date"))).alias("competitions"))
+    rows = table(spark, sf_dir, "orders").repartition("o_orderkey").select(
+        _text(F.col("o_orderkey")).alias("document_key"), F.lit("game").alias("record_type"),
+        F.to_json(F.struct(header.alias("header"))).alias("payload"))
+    return records.complete_records(rows, AS_OF).drop("payload")
+
+
+COMPLETE_GAMES = """
+SELECT o_orderkey::VARCHAR AS document_key, 'game' AS record_type,
+  o_orderkey%5=4 OR o_orderdate<DATE '1998-07-01' AS up_to_date FROM orders"""
+
+
 def unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.unknown_records(_records(spark, sf_dir)).drop("payload")
 
@@ -629,6 +655,7 @@ QUERIES = {
     "cull_payload": (culled, CULLED),
     "html_to_payload": (html, HTML),
     "complete_records": (complete, COMPLETE),
+    "complete_games": (complete_games, COMPLETE_GAMES),
     "unknown_records": (unknown, UNKNOWN),
     "raw_keys": (raw_keys, RAW_KEYS),
     "rejected_documents": (rejected, REJECTED),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from courtflow.functions.seasons import season_page_dates
 from courtflow.operators import discovery, game_pages, player_pages, schedules, standings
 from courtflow.plans import document_fixtures
+from courtflow.plans.fixtures import table
 from courtflow.schemas import RecordType
 from courtflow.sources.documents import parse_documents
 
@@ -343,7 +344,33 @@ SELECT p_partkey AS id, CASE WHEN p_partkey%10<>0 THEN p_brand END AS birth_city
   CASE WHEN p_partkey%9<>0 THEN 150+p_size END::BIGINT AS weight, TRUE AS complete_record
 FROM part WHERE p_partkey%17<>0"""
 
+def stat_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as box score texts: pairs, dashes for missing values, and a column that is not there."""
+    q, n = F.col("l_quantity").cast("bigint"), F.col("l_linenumber").cast("bigint")
+    missing = F.col("l_orderkey") % 7 == 0
+    pair = lambda made, tried: F.concat_ws("-", made.cast("string"), tried.cast("string"))
+    names = F.when(F.col("l_orderkey") % 5 == 0, F.array(*map(F.lit, ("PTS", "FG", "MIN")))).otherwise(
+        F.array(*map(F.lit, ("PTS", "FG", "3PT", "MIN", "PF"))))
+    texts = (F.when(missing, F.lit("--")).otherwise(q.cast("string")), pair(n, n + q))
+    stats = F.when(F.col("l_orderkey") % 5 == 0, F.array(*texts, n.cast("string"))).otherwise(
+        F.array(*texts, F.when(missing, F.lit("x-1")).otherwise(pair(n, q)), n.cast("string"), F.lit("0")))
+    cast = game_pages.cast_stats(F.col("names"), F.col("stats"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", names.alias("names"), stats.alias("stats"))
+    return rows.select("l_orderkey", "l_linenumber", cast.alias("cast")).select("l_orderkey", "l_linenumber", "cast.*")
+
+
+STAT_TEXTS = """
+SELECT l_orderkey, l_linenumber, l_linenumber::BIGINT AS minutes,
+  CASE WHEN l_orderkey%7<>0 THEN l_quantity::BIGINT END AS points,
+  NULL::BIGINT AS off_rebounds, NULL::BIGINT AS def_rebounds, NULL::BIGINT AS assists, NULL::BIGINT AS turnovers,
+  NULL::BIGINT AS steals, CASE WHEN l_orderkey%5<>0 THEN 0::BIGINT END AS personal_fouls,
+  l_linenumber::BIGINT AS fg_made, (l_linenumber+l_quantity)::BIGINT AS fg_attempted,
+  CASE WHEN l_orderkey%5<>0 AND l_orderkey%7<>0 THEN l_linenumber::BIGINT END AS fg3_made,
+  CASE WHEN l_orderkey%5<>0 THEN CASE WHEN l_orderkey%7<>0 THEN l_quantity::BIGINT ELSE 1 END END AS fg3_attempted
+FROM lineitem"""
+
 QUERIES = {
+    "cast_stats": (stat_texts, STAT_TEXTS),
     "schedule_events": (schedule_events, SCHEDULE_EVENTS),
     "schedule_venues": (venues, VENUES),
     "schedule_statuses": (statuses, STATUSES),

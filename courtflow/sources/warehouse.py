@@ -232,7 +232,10 @@ class Warehouse:
         new = absent_from(rows, self._read_rejects(paths), ["reject_reason", "row"], few=True)
         path = f"{self.root}/rejects/{spec.name}/{uuid.uuid4().hex}"
         new.write.parquet(path)
-        return [*paths, path] if self._read_rejects([path]).count() else paths
+        if self._read_rejects([path]).count():
+            return [*paths, path]
+        self._delete([path])
+        return paths
 
     def _read(self, spec: TableSpec, paths: list[str]) -> DataFrame:
         if not paths:
