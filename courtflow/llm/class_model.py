@@ -26,6 +26,7 @@ no rows. Only doc_id and text are read.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -80,9 +81,15 @@ def held_out() -> Column:
 
 
 def _release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of steps that are written; it does so when the driver's memory is cleared."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark delete shuffle files of steps that are written.
+
+    It does so, a little later, when the driver's memory is cleared of the plans that made them: first of
+    Python's handles, then of the plans.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
