@@ -35,7 +35,7 @@ def digits_of(span: Column) -> Column:
 
 def is_ip(span: Column) -> Column:
     """Four parts of at most 255 each, however many zeros lead."""
-    part = lambda p: F.regexp_replace(p, "^0++(?=[0-9])", "")
+    part = lambda p: F.regexp_replace(p, "^0+(?=[0-9])", "")
     return F.forall(F.split(span, "\\."), lambda p: (F.length(part(p)) <= 3) & (part(p).try_cast("int") <= 255))
 
 
@@ -251,11 +251,13 @@ def redact(docs: DataFrame) -> DataFrame:
     return out.drop(name)
 
 
+def _count(kind: Kind) -> Column:
+    # a second parameter of the function, even with a default, would be given the element's index
+    return F.size(F.filter("spans", lambda x: x["kind"] == kind.name)).cast("long")
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["rank"] < 4)
-    counts = [
-        F.size(F.filter("spans", lambda x, r=r: x["rank"] == r)).cast("long").alias(f"n_{k.name}")
-        for r, k in enumerate(KINDS[:4])
-    ]
+    counts = [_count(k).alias(f"n_{k.name}") for k in KINDS[:4]]
     return found.select("doc_id", *counts, F.sha2(digest(base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))

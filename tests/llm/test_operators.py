@@ -192,6 +192,18 @@ def test_personal_data_equals_a_plain_search(spark, docs):
         assert mine == plain_spans(texts[r.doc_id]), texts[r.doc_id]
 
 
+def test_query_counts_each_kind_and_parts_of_zeros(spark, tmp_path):
+    rnd = random.Random(12)
+    bits = ["a@b.co", "1.2.3.4", "0000.01.000000255.0", "256.0000.1.1", "4111 1111 1111 1111", "+49 170 1234567", "é", "x"]
+    made = [" ".join(rnd.choice(bits) for _ in range(rnd.randint(0, 9))) for _ in range(300)] + [None]
+    spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in pii.op3_personal_data(spark, str(tmp_path)).collect():
+        plain = plain_spans(made[r.doc_id])
+        kinds = Counter(s.split(":")[0] for s in plain)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(kinds[k] for k in PLAIN)
+        assert r.base_sha256 == hashlib.sha256(",".join(plain).encode()).hexdigest()
+
+
 def test_query_digests_and_other_kinds(spark, odd, none):
     text = "IBAN DE89 3704 0044 0532 0130 00, mail me: a.b@c.de or +49 170 1234567"
     frame = spark.createDataFrame([(1, text, "en", "s", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
