@@ -12,6 +12,8 @@
    it under the length, the positional and the suffix filter. The last is a bound on whole sets
    that stands for the recursive one on suffixes: parity bitmaps differ in no more bits than the
    sets in shingles. Step 3 has no positional filter, as its smallest class may lie anywhere.
+   A pair is made at its smallest common shingle: each class carries the LEAD smallest of its own
+   that are joined, and a pair that has one of these in common is made at no later shingle.
 5. Pairs left are verified once with the whole sets.
 
 Pairs within a component are left out, and no others: components are those of all links. Texts
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtflow.llm.common import Scratch, components, map_slices, table, with_keys
@@ -39,6 +41,7 @@ from courtflow.llm.words import NOT_SPACE, find_words, mix, rolling, slices, sta
 WIDTH_BITS = 20
 CHUNK_BITS = 14
 BITMAP = 512
+LEAD = 4
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -150,6 +153,19 @@ def _may_link(a: str, b: str, num: int, den: int) -> Column:
     )
 
 
+def shared_pairs(posts: DataFrame, num: int, den: int) -> DataFrame:
+    """Classes (a, b) of two components c that share a shingle t and pass the filters: once, unless they
+    share shingles but none of their LEAD smallest."""
+    x, y = posts.alias("x"), posts.alias("y")
+    room = F.least(F.col("x.place"), F.col("y.place")) + 1 + F.least(
+        F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) - 1
+    made = F.array_min(F.array_intersect("x.lead", "y.lead")) < F.col("x.t")
+    return x.join(
+        y, (F.col("x.t") == F.col("y.t")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c"))
+        & (room * (num + den) >= (F.col("x.n") + F.col("y.n")) * num) & _may_link("x", "y", num, den)
+        & ~F.coalesce(made, F.lit(False))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def _links(scratch: Scratch, pairs: DataFrame, places: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs of classes (a, b) whose whole sets reach the similarity; each is verified once.
 
@@ -217,16 +233,12 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> D
     # classes that share a shingle but no component
     labelled = posts.join(found, "id", "left").withColumn("c", F.coalesce("component_id", "id")).select("t", "id", "place", "c")
     mixed = labelled.groupBy("t").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("t")
-    left_over = scratch.stored(labelled.join(mixed, "t", "left_semi").join(facts, "id"), "mixed")
-    x, y = left_over.alias("x"), left_over.alias("y")
-    room = F.least(F.col("x.place"), F.col("y.place")) + 1 + F.least(
-        F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) - 1
-    rest = (
-        x.join(y, (F.col("x.t") == F.col("y.t")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c"))
-               & (room * (num + den) >= (F.col("x.n") + F.col("y.n")) * num) & _may_link("x", "y", num, den))
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
+    own = Window.partitionBy("id")
+    left_over = labelled.join(mixed, "t", "left_semi").withColumn("k", F.row_number().over(own.orderBy("t")))
+    left_over = left_over.withColumn("lead", F.collect_list(F.when(F.col("k") <= LEAD, F.col("t"))).over(own)).drop("k")
+    left_over = scratch.stored(left_over.join(facts, "id"), "mixed")
+    # pairs linked above are of one component
+    rest = shared_pairs(left_over, num, den).distinct()
     second = _links(scratch, rest, places, docs, n, num, den)
     scratch.drop(left_over, posts)
 

@@ -415,6 +415,20 @@ def test_jaccard_equals_all_pairs(spark):
         assert found == {i: (len(s), top[i]) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("lead", [2, 8])
+def test_pairs_that_share_many_shingles_are_made_once(spark, lead):
+    rnd = random.Random(lead)
+    held = {k: sorted(rnd.sample(range(60), 55)) for k in range(40)}
+    rows = [(t, k, place, k // 2, 60, [0] * 8, mine[:lead]) for k, mine in held.items() for place, t in enumerate(mine)]
+    posts = spark.createDataFrame(rows, "t long, id long, place long, c long, n long, bits array<long>, lead array<long>")
+    made = [(r.a, r.b) for r in jaccard.shared_pairs(posts, 1, 10).collect()]
+    assert set(made) == {(a, b) for a in held for b in held if a < b and a // 2 != b // 2}
+    # pairs without a common shingle among their smallest may come more than once
+    lone = {(a, b) for a, b in made if not set(held[a][:lead]) & set(held[b][:lead])}
+    assert len([p for p in made if p not in lone]) == len(set(made) - lone)
+    assert len(made) <= (3 if lead == 2 else 1.1) * len(set(made))
+
+
 def test_jaccard_of_odd_rows(odd, none):
     rows = jaccard.jaccard_groups(odd, 3, 9, 10).collect()
     assert len(rows) == len(ODD)
