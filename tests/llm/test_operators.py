@@ -354,6 +354,30 @@ def test_recall_of_benchmark_places(spark):
     assert found <= right and all(b >= 20 and a >= 0.9 * b for a, b in recall.values()), recall
 
 
+def test_projection_equals_a_dense_product():
+    rnd = np.random.default_rng(4)
+    basis = rnd.standard_normal((decontamination.TERMS, 7)).astype(np.float32)
+    dense = np.where(rnd.random((300, 50)) < 0.2, rnd.random((300, 50)), 0).astype(np.float32)
+    dense[[0, 17, 299]] = 0  # passages without terms
+    row, term = np.nonzero(dense)
+    found = decontamination.project(row, term, dense[row, term], 300, basis)
+    assert np.allclose(found, dense @ basis[:50], atol=1e-4)
+    assert decontamination.project(row[:0], term[:0], dense[row, term][:0], 0, basis).shape == (0, 7)
+    assert not decontamination.project(row[:0], term[:0], dense[row, term][:0], 5, basis).any()
+
+
+def test_spans_hold_every_candidate_once():
+    rnd = random.Random(5)
+    text = np.sort(np.array([rnd.randrange(6) for _ in range(100)]))
+    pairs = sorted({(rnd.randrange(100), rnd.randrange(4)) for _ in range(150)})
+    passage, item = np.array(pairs).T
+    made = list(decontamination.spans(passage, item, text))
+    assert sorted((p, i) for _, i, near in made for p in near) == pairs and len(made) < len(pairs)
+    for k, _, near in made:
+        assert near == sorted(near) and near[-1] - near[0] < decontamination.SPAN and set(text[near]) == {k}
+    assert not list(decontamination.spans(passage[:0], item[:0], text))
+
+
 def test_common_subsequence():
     rnd = random.Random(2)
     for _ in range(200):
