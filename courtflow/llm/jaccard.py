@@ -14,7 +14,10 @@
    sets in shingles. Step 3 has no positional filter, as its smallest class may lie anywhere.
    A pair is made at its smallest common shingle: each class carries the LEAD smallest of its own
    that are joined, and a pair that has one of these in common is made at no later shingle.
-5. Pairs left are verified once with the whole sets.
+5. Sets of more than BITMAP shingles fill that bitmap, and their pairs would all pass. Such a set has a
+   second one of as many bits as shingles, at least; of two sizes, the larger is folded to the
+   smaller. It is compared once a pair, by the same bound, before any whole set is read.
+6. Pairs left are verified once with the whole sets.
 
 Pairs within a component are left out, and no others: components are those of all links. Texts
 move twice at most, and only keys, sizes and bitmaps are joined on shingles.
@@ -106,13 +109,25 @@ def frequencies(docs: DataFrame) -> np.ndarray:
     return out
 
 
+def _parities(hashes: np.ndarray, first: np.ndarray) -> list[bytes | None]:
+    """For each set of more than BITMAP shingles a bitmap of at least as many bits, a power of two times BITMAP."""
+    size = np.diff(first)
+    wide = np.where(size > BITMAP, BITMAP << np.ceil(np.log2(np.maximum(size, 1) / BITMAP)).clip(0).astype(np.int64), 0)
+    ends = np.cumsum(wide)
+    held = np.repeat(wide > 0, size)
+    width = np.repeat(wide, size)[held]
+    at = np.repeat(ends - wide, size)[held] + ((hashes[held] >> np.uint64(7)) % width.astype(np.uint64)).astype(np.int64)
+    bits = np.packbits((np.bincount(at, minlength=wide.sum()) & 1).astype(np.uint8))
+    return [bits[(e - w) // 8 : e // 8].tobytes() if w else None for e, w in zip(ends.tolist(), wide.tolist(), strict=True)]
+
+
 def _summaries(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Size, digest, bitmap and rare-first prefix of each row's set."""
+    """Size, digest, bitmaps and rare-first prefix of each row's set."""
     spark = docs.sparkSession
     common = spark.sparkContext.broadcast(frequencies(docs))
     fields = pa.schema([
         ("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
-        ("bits", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())),
+        ("bits", pa.list_(pa.int64())), ("wide", pa.binary()), ("prefix", pa.list_(pa.int64())),
     ])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -133,11 +148,12 @@ def _summaries(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         lists = lambda values, ends: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(values, pa.int64()))
         return pa.record_batch([
             batch.column("doc_id"), batch.column("th"), pa.array(size, pa.int64()), pa.array(digest[0]),
-            pa.array(digest[1]), lists(bits, np.arange(1, len(size) + 1) * (BITMAP // 64)), lists(prefix, np.cumsum(length)),
+            pa.array(digest[1]), lists(bits, np.arange(1, len(size) + 1) * (BITMAP // 64)),
+            pa.array(_parities(hashes, first), pa.binary()), lists(prefix, np.cumsum(length)),
         ], schema=fields)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
-    return map_slices(rows, run, "doc_id long, th long, n long, h1 long, h2 long, bits array<long>, prefix array<long>")
+    return map_slices(rows, run, "doc_id long, th long, n long, h1 long, h2 long, bits array<long>, wide binary, prefix array<long>")
 
 
 def _differing(a: str, b: str) -> Column:
@@ -166,12 +182,37 @@ def shared_pairs(posts: DataFrame, num: int, den: int) -> DataFrame:
         & ~F.coalesce(made, F.lit(False))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
-def _links(scratch: Scratch, pairs: DataFrame, places: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def near_pairs(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of classes (a, b) without those whose wide bitmaps differ in too many bits.
+
+    sketches: id, n and wide of the classes that have one; a pair with another class stays.
+    """
+    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns = (batch.column(c).to_pylist() for c in ("x", "y", "size"))
+        return batch.select(["a", "b"]).filter(pa.array([
+            x is None or y is None or _apart(x, y) * (num + den) <= size * (den - num) for x, y, size in zip(*columns, strict=True)], pa.bool_()))
+
+    left = sketches.select(F.col("id").alias("a"), F.col("wide").alias("x"), F.col("n").alias("nx"))
+    right = sketches.select(F.col("id").alias("b"), F.col("wide").alias("y"), F.col("n").alias("ny"))
+    both = pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "x", "y", (F.col("nx") + F.col("ny")).alias("size"))
+    return map_slices(both, keep, "a long, b long", column="x")
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """Bits in which two bitmaps differ, the larger folded to the size of the smaller."""
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(np.frombuffer(v, np.uint8).reshape(-1, size), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _links(scratch: Scratch, pairs: DataFrame, sketches: DataFrame, places: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs of classes (a, b) whose whole sets reach the similarity; each is verified once.
 
     places names a text (doc_id, th) of every class (id).
     """
-    pairs = scratch.stored(pairs, "pairs")
+    met = scratch.stored(pairs, "met")
+    pairs = scratch.stored(near_pairs(met, sketches, num, den), "pairs")
+    scratch.drop(met)
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     wanted = scratch.stored(places.join(wanted, "id", "left_semi"), "wanted")
     fields = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
@@ -214,12 +255,17 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> D
     reps = scratch.stored(
         known.groupBy("id").agg(F.min(F.struct("doc_id", "th")).alias("row"), F.min("n").alias("n"))
         .select("id", "row.doc_id", "row.th", "n"), "classes")
-    facts = with_keys(known, reps.select("id", "doc_id", "th"), ["id", "doc_id", "th"], "left_semi").dropDuplicates(["id"])
-    facts = scratch.stored(facts.select("id", "n", "bits", "prefix"), "facts")
-    tokens = facts.select("id", "n", F.posexplode("prefix").alias("place", "t"))
+    facts = with_keys(known, reps.select("id", "doc_id", "th"), ["id", "doc_id", "th"], "left_semi")
+    facts = scratch.stored(facts.select("id", "n", "bits", "wide", "prefix"), "facts")
+    if facts.count() > reps.count():  # rows that are equal
+        several = facts
+        facts = scratch.stored(several.dropDuplicates(["id"]), "facts")
+        scratch.drop(several)
+    tokens = facts.select("id", F.posexplode("prefix").alias("place", "t"))
     shared = tokens.groupBy("t").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where("head < tail")
     posts = scratch.stored(tokens.join(shared.select("t", "head"), "t"), "posts")
-    facts = facts.drop("prefix")
+    sketches = facts.where("wide is not null").select("id", "n", "wide")
+    facts = facts.select("id", "n", "bits")
 
     # every class with the smallest of each of its shingles
     heads = posts.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
@@ -227,7 +273,7 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> D
     two = facts.select(F.col("id").alias("b"), F.struct("n", "bits").alias("y"))
     heads = heads.join(one, "a").join(two, "b").where(_may_link("x", "y", num, den)).select("a", "b")
     places = reps.select("id", "doc_id", "th")
-    first = _links(scratch, heads, places, docs, n, num, den)
+    first = _links(scratch, heads, sketches, places, docs, n, num, den)
     found = components(first)
 
     # classes that share a shingle but no component
@@ -239,7 +285,7 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> D
     left_over = scratch.stored(left_over.join(facts, "id"), "mixed")
     # pairs linked above are of one component
     rest = shared_pairs(left_over, num, den).distinct()
-    second = _links(scratch, rest, places, docs, n, num, den)
+    second = _links(scratch, rest, sketches, places, docs, n, num, den)
     scratch.drop(left_over, posts)
 
     # texts of one doc_id are one document: each of its classes goes with the smallest of them

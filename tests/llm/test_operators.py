@@ -453,6 +453,43 @@ def test_pairs_that_share_many_shingles_are_made_once(spark, lead):
     assert len(made) <= (3 if lead == 2 else 1.1) * len(set(made))
 
 
+def test_long_sets_that_share_little_are_not_verified(spark, monkeypatch):
+    rnd = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(500)]
+    text = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
+    base = text(4000)
+    edited = [w if k % 200 else "zz" for k, w in enumerate(base)]
+    # 4,096 lies between the sizes of the first and the third
+    words = [base, edited, base + text(300), *(text(rnd.randint(3900, 4300)) for _ in range(12))]
+    rows = [(k, " ".join([*w, "aa", "bb", "cc"])) for k, w in enumerate(words)]
+    sets = [{tuple(t.split()[j : j + 3]) for j in range(len(t.split()) - 2)} for _, t in rows]
+    made, stored = [], jaccard.Scratch.stored
+
+    def counted(self, df, name):
+        out = stored(self, df, name)
+        made.extend((r.a, r.b) for r in out.collect() if name == "pairs")
+        return out
+
+    monkeypatch.setattr(jaccard.Scratch, "stored", counted)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 9, 10).collect()}
+    assert all(len(sets[0] & sets[k]) >= 0.9 * len(sets[0] | sets[k]) for k in (1, 2))
+    assert found == {k: (len(s), 0 if k < 3 else k) for k, s in enumerate(sets)}
+    assert len(made) <= 3  # any two share a rare shingle
+
+
+def test_wide_bitmaps_bound_the_difference():
+    rnd = np.random.default_rng(3)
+    for n, m in ((600, 500), (1024, 1030), (2000, 2100), (513, 512), (5000, 900)):
+        x = rnd.integers(0, 1 << 63, n, dtype=np.uint64)
+        y = np.concatenate([x[: min(n, m) - 50], rnd.integers(0, 1 << 63, m - min(n, m) + 50, dtype=np.uint64)])
+        a, b = jaccard._parities(np.concatenate([x, y]), np.array([0, n, n + m]))
+        assert (a is None, b is None) == (n <= 512, m <= 512)
+        if a and b:
+            assert len(a) * 8 >= n and len(b) * 8 >= m
+            apart = len(np.setxor1d(x, y))
+            assert apart - 2 * apart**2 // (8 * min(len(a), len(b))) <= jaccard._apart(a, b) <= apart
+
+
 def test_jaccard_of_odd_rows(odd, none):
     rows = jaccard.jaccard_groups(odd, 3, 9, 10).collect()
     assert len(rows) == len(ODD)
