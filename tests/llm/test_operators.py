@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -26,6 +27,7 @@ from courtflow.llm import (
     substrings,
     toxicity,
     vectors,
+    words,
 )
 
 DDL = ("doc_id long, text string, lang string, source string, n_chars long, th long, n long, id long, a long, "
@@ -366,6 +368,63 @@ def test_projection_equals_a_dense_product():
     assert not decontamination.project(row[:0], term[:0], dense[row, term][:0], 5, basis).any()
 
 
+def peak_mb(function):
+    tracemalloc.start()
+    function()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most / 1e6
+
+
+def test_the_fit_adds_a_turned_product_in_little_memory():
+    rnd = np.random.default_rng(5)
+    n, width = 1500, 128
+    row, term = np.repeat(np.arange(n), 30), (rnd.random((n, 30)) * 500 + np.arange(30) * 500).astype(np.int64).ravel()
+    weight = rnd.random(len(row)).astype(np.float32)
+    left = rnd.random((n, width)).astype(np.float32)
+    dense = np.zeros((n, decontamination.TERMS))
+    dense[row, term] = weight
+    total = np.ones((decontamination.TERMS, width))
+    assert peak_mb(lambda: decontamination._turned(row, term, weight, left, total)) < 8
+    assert np.allclose(total, 1 + dense.T @ left, atol=1e-3)
+    decontamination._turned(row[:0], term[:0], weight[:0], left[:0], total)
+    decontamination._turned(row[:0], term[:0], weight[:0], left[:5], total)
+    assert np.allclose(total, 1 + dense.T @ left, atol=1e-3)
+
+
+def test_words_take_little_memory():
+    text = pa.array(["Some words, of 5 or so letters each " * 15_000])
+    assert peak_mb(lambda: words.find_words(text, words.NOT_SPACE, lower=True)) < 30 * 0.54
+
+
+def test_words_in_several_blocks_and_between_texts():
+    rnd = random.Random(9)
+    long = "".join(rnd.choice("aB1 \t\né字") for _ in range(90_000))
+    texts = ["", None, "x", " y", long, "z ", "", long[:50], "Z"]
+    found = words.find_words(pa.array(texts), words.NOT_SPACE, lower=True)
+    plain = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").replace("B", "b").replace("Z", "z")) for t in texts]
+    assert np.diff(found.first).tolist() == [len(w) for w in plain]
+    names = [w for own in plain for w in own]
+    assert [found.data[a:b].tobytes().decode() for a, b in zip(found.begin, found.end, strict=True)] == names
+    assert len(set(zip(names, found.hashes.tolist(), strict=True))) == len(set(names)) == len(set(found.hashes.tolist()))
+
+
+def test_meetings_take_little_memory():
+    rnd = random.Random(12)
+    item = [f"v{k}" for k in range(20)]
+    texts = pa.array([" ".join(rnd.choice(item) for _ in range(100)) for _ in range(100)])
+    space = decontamination.Space(np.ones(decontamination.TERMS), np.ones((decontamination.TERMS, 1), np.float32))
+    items = decontamination._items([{"item_id": k, "text": " ".join(item)} for k in range(100)], space)
+    _, begin, end, text, hashes = decontamination.passages(texts)
+    last = np.searchsorted(text, np.arange(100), "right")
+    stop = end[last - 1]
+    pairs = set()
+    most = peak_mb(lambda: [0 for _ in decontamination.meetings(items, hashes, begin, end, last, stop)])
+    for met, of in decontamination.meetings(items, hashes, begin, end, last, stop):
+        pairs |= set(zip(met.tolist(), of.tolist(), strict=True))
+    assert len(pairs) == len(begin) * 100 and most < 40
+
+
 def test_spans_hold_every_candidate_once():
     rnd = random.Random(5)
     text = np.sort(np.array([rnd.randrange(6) for _ in range(100)]))
