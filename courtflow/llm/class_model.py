@@ -44,9 +44,17 @@ CLASSES = 128
 ROUNDS = 4
 TASKS = 64
 END = np.uint64(0x9D1C5B8E52F4A7E3)
+#: Words of the core are looked up by so many bits of their hash.
+START_BITS = 17
+#: Lists of so many entries are added up side by side.
+SHORT = 16
 UNKNOWN = 255  # a class is a byte, so CLASSES may be 255 at most
 
 
+def _starting(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - START_BITS)).astype(np.int64)
+
+
 class Core(NamedTuple):
     """The most frequent words: rank 0 is the end; hashes in order, with the rank and count of each."""
 
@@ -54,10 +62,25 @@ class Core(NamedTuple):
     ranks: np.ndarray
     counts: np.ndarray  # by rank
 
-    def rank(self, hashes: np.ndarray) -> np.ndarray:
+    def starts(self) -> np.ndarray:
+        """The first place in hashes for each beginning of START_BITS bits, and the end."""
+        counts = np.bincount(_starting(self.hashes), minlength=1 << START_BITS)
+        return np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+
+    def rank(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The rank of each word, or -1."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.ranks[at], -1)
+        begin = _starting(hashes)
+        at, stop = starts[begin], starts[begin + 1]
+        out = np.full(len(hashes), -1, np.int64)
+        rest = np.flatnonzero(at < stop)
+        while len(rest):
+            place = at[rest]
+            met = self.hashes[place] == hashes[rest]
+            out[rest[met]] = self.ranks[place[met]]
+            rest = rest[~met]
+            at[rest] += 1
+            rest = rest[at[rest] < stop[rest]]
+        return out
 
 
 class Model(NamedTuple):
@@ -120,9 +143,11 @@ def as_numbers(docs: DataFrame, core: Core, size: int) -> DataFrame:
     """
     fields = pa.schema([("doc_id", pa.int64()), ("held", pa.bool_()), ("codes", pa.binary()), ("wide", pa.bool_()), ("other", pa.list_(pa.int64()))])
 
+    starts = core.starts()
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = find_words(batch.column("text"), NOT_SPACE, lower=True)
-        codes = core.rank(words.hashes)
+        codes = core.rank(words.hashes, starts)
         away = np.flatnonzero(codes < 0)
         text, h = words.text_of()[away], words.hashes[away]
         order = np.lexsort((h, text))
@@ -216,18 +241,21 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def gains(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, twice: float) -> np.ndarray:
+def gains(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, twice: float, logs: np.ndarray | None = None) -> np.ndarray:
     """How much the likelihood of the corpus gains from a word that joins each class instead of none.
 
-    after and before count the classes of the words next to it, twice counts it next to itself.
+    after and before count the classes of the words next to it, twice counts it next to itself. logs is
+    _xlogx(matrix), of which a word changes its own class's row and column only.
     """
+    logs = _xlogx(matrix) if logs is None else logs.copy()
     left = matrix.copy()
     left[own] -= after
     left[:, own] -= before
     left[own, own] -= twice
+    logs[own], logs[:, own] = _xlogx(left[own]), _xlogx(left[:, own])
     s, p = np.flatnonzero(after), np.flatnonzero(before)
-    rows = _xlogx(left[:, s] + after[s]) - _xlogx(left[:, s])
-    columns = _xlogx(left[p] + before[p, None]) - _xlogx(left[p])
+    rows = _xlogx(left[:, s] + after[s]) - logs[:, s]
+    columns = _xlogx(left[p] + before[p, None]) - logs[p]
     rows[s, np.arange(len(s))] = 0
     columns[np.arange(len(p)), p] = 0
     middle = left.diagonal()
@@ -240,6 +268,8 @@ def gains(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, t
 
 def exchange(near: DataFrame, matrix: np.ndarray, of: np.ndarray, size: int, classes: int) -> np.ndarray:
     """The class that each word of the core would choose; the end keeps its own."""
+    logs = _xlogx(matrix)
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, offsets = _lists(batch.column("near"))
         counts, _ = _lists(batch.column("n"))
@@ -251,7 +281,7 @@ def exchange(near: DataFrame, matrix: np.ndarray, of: np.ndarray, size: int, cla
             behind, self_ = at < size, at % size == word
             twice = n[behind & self_].sum()
             sides = [np.bincount(of[at[m] % size], n[m], classes) for m in (behind & ~self_, ~behind & ~self_)]
-            gain = gains(matrix, own, *sides, twice)
+            gain = gains(matrix, own, *sides, twice, logs)
             gain[0] = -np.inf
             best = int(gain.argmax())
             chosen.append(best if word and gain[best] > gain[own] + 1e-6 else own)
@@ -275,6 +305,24 @@ def cluster(pairs: DataFrame, near: DataFrame, words: int, size: int, classes: i
     return of, class_pairs(pairs, of, classes)
 
 
+def sums_of_lists(rows, offsets: np.ndarray, width: int) -> np.ndarray:
+    """For each list, which has entries, the sum of the rows of a matrix that rows gives for some entries."""
+    size = np.diff(offsets)
+    order = np.argsort(-size, kind="stable")
+    begin, size = offsets[:-1][order], size[order]
+    sums = np.zeros((len(size), width))
+    long = int((size > SHORT).sum())
+    for k, (a, b) in enumerate(zip(begin[:long].tolist(), size[:long].tolist(), strict=True)):
+        sums[k] = rows(np.arange(a, a + b)).sum(axis=0)
+    # the first entries of all short lists, the second ones and so on; most have few
+    for k in range(SHORT):
+        some = int((size > k).sum())
+        sums[long:some] += rows(begin[long:some] + k)
+    out = np.empty_like(sums)
+    out[order] = sums
+    return out
+
+
 def joined_classes(texts: DataFrame, of: np.ndarray, matrix: np.ndarray, size: int, classes: int) -> DataFrame:
     """h, class of words outside the core that stand next to a word of it in training texts."""
     def contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -297,7 +345,7 @@ def joined_classes(texts: DataFrame, of: np.ndarray, matrix: np.ndarray, size: i
     def choose(batch: pa.RecordBatch) -> pa.RecordBatch:
         code, offsets = _lists(batch.column("code"))
         n, _ = _lists(batch.column("n"))
-        scores = np.add.reduceat((after[code // (classes + 1)] + before[code % (classes + 1)]) * n[:, None], offsets[:-1])
+        scores = sums_of_lists(lambda at: (after[code[at] // (classes + 1)] + before[code[at] % (classes + 1)]) * n[at, None], offsets, classes)
         scores[:, 0] = -np.inf
         return pa.record_batch([batch.column("h"), pa.array(scores.argmax(axis=1), pa.int32())], names=["h", "class"])
 

@@ -265,3 +265,34 @@ def test_scores_of_odd_rows(spark, odd, none):
     held = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0)
     only = class_model.scores(framed(spark, [(held, "a b a")])).first()
     assert (only.score, only.base_score, only.n_known, only.train_tokens) == (0.0, 0.0, 0, 0)
+
+
+def test_gains_with_logarithms_given():
+    rnd = np.random.default_rng(6)
+    matrix = rnd.integers(50, 5000, (12, 12)).astype(float)
+    logs = class_model._xlogx(matrix)
+    kept = logs.copy()
+    for own in (1, 7):
+        after, before = (np.where(rnd.random(12) < 0.5, rnd.integers(0, 9, 12), 0).astype(float) for _ in range(2))
+        plain = class_model.gains(matrix, own, after, before, 2.0)
+        assert np.array_equal(class_model.gains(matrix, own, after, before, 2.0, logs), plain) and np.array_equal(logs, kept)
+
+
+def test_sums_of_short_and_long_lists():
+    rnd = np.random.default_rng(7)
+    size = np.append(rnd.integers(1, 30, 200), [1, 400, class_model.SHORT, class_model.SHORT + 1])
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    values = rnd.random((offsets[-1], 5))
+    found = class_model.sums_of_lists(lambda at: values[at], offsets, 5)
+    assert np.allclose(found, np.add.reduceat(values, offsets[:-1]))
+    assert class_model.sums_of_lists(lambda at: values[at], offsets[:1], 5).shape == (0, 5)
+
+
+def test_ranks_of_words_that_begin_alike():
+    rnd = np.random.default_rng(8)
+    hashes = np.unique(np.append(rnd.integers(0, 1 << 63, 500, dtype=np.uint64) << np.uint64(1), [0, 5, 6, 7, 2**64 - 2, 2**64 - 1]).astype(np.uint64))
+    core = class_model.Core(hashes, rnd.permutation(len(hashes)), np.ones(len(hashes)))
+    asked = np.concatenate([hashes, hashes + np.uint64(1), np.array([1, 8, 2**64 - 3], np.uint64)])
+    place = {h: r for h, r in zip(hashes.tolist(), core.ranks.tolist(), strict=True)}
+    assert core.rank(asked, core.starts()).tolist() == [place.get(h, -1) for h in asked.tolist()]
+    assert len(core.rank(asked[:0], core.starts())) == 0
