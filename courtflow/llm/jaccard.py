@@ -45,6 +45,8 @@ WIDTH_BITS = 20
 CHUNK_BITS = 14
 BITMAP = 512
 LEAD = 4
+#: Bytes of text at once; its shingles and their orders take some 40 times as much.
+SIZE = 1 << 18
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -153,7 +155,7 @@ def _summaries(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         ], schema=fields)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
-    return map_slices(rows, run, "doc_id long, th long, n long, h1 long, h2 long, bits array<long>, wide binary, prefix array<long>")
+    return map_slices(rows, run, "doc_id long, th long, n long, h1 long, h2 long, bits array<long>, wide binary, prefix array<long>", most=SIZE)
 
 
 def _differing(a: str, b: str) -> Column:
@@ -224,7 +226,7 @@ def _links(scratch: Scratch, pairs: DataFrame, sketches: DataFrame, places: Data
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").where("text is not null")
     texts = with_keys(texts, wanted, ["doc_id", "th"], "inner").select("id", "text")
-    whole = scratch.stored(map_slices(texts, sets, "id long, shingles binary"), "shingles")
+    whole = scratch.stored(map_slices(texts, sets, "id long, shingles binary", most=SIZE), "shingles")
     if whole.count() > wanted.count():  # rows that are equal
         several = whole
         whole = scratch.stored(several.groupBy("id").agg(F.min("shingles").alias("shingles")), "shingles")

@@ -32,6 +32,8 @@ from courtflow.llm.words import LOWER, raw
 BUCKET_BITS = 12
 PER_LANGUAGE = 800
 UNKNOWN = "und"
+#: Bytes of text at once; sums over its bytes take some 30 times as much.
+SIZE = 1 << 18
 #: ISO 639-1 codes by family. Other codes are families of their own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb yi fo",
@@ -243,7 +245,7 @@ def with_language(docs: DataFrame, model: Model, name: str = "lang_pred") -> Dat
         label, _ = shared.value.predict(batch.column("text"))
         return batch.append_column(name, pa.array(label, pa.string()))
 
-    return map_slices(docs, run, T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())]))
+    return map_slices(docs, run, T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())]), most=SIZE)
 
 
 def op5_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
