@@ -290,7 +290,7 @@ def test_sums_of_short_and_long_lists():
 
 def test_ranks_of_words_that_begin_alike():
     rnd = np.random.default_rng(8)
-    hashes = np.unique(np.append(rnd.integers(0, 1 << 63, 500, dtype=np.uint64) << np.uint64(1), [0, 5, 6, 7, 2**64 - 2, 2**64 - 1]).astype(np.uint64))
+    hashes = np.unique(np.append(rnd.integers(0, 1 << 63, 500, dtype=np.uint64) << np.uint64(1), np.array([0, 5, 6, 7, 2**64 - 2, 2**64 - 1], np.uint64)))
     core = class_model.Core(hashes, rnd.permutation(len(hashes)), np.ones(len(hashes)))
     asked = np.concatenate([hashes, hashes + np.uint64(1), np.array([1, 8, 2**64 - 3], np.uint64)])
     place = {h: r for h, r in zip(hashes.tolist(), core.ranks.tolist(), strict=True)}
