@@ -32,6 +32,10 @@ from courtflow.llm.words import LOWER, raw
 BUCKET_BITS = 12
 PER_LANGUAGE = 800
 UNKNOWN = "und"
+#: What stands in each row for a machine's bias.
+BIAS = 0.1
+#: Rows squared at once.
+ROWS = 256
 #: Bytes of text at once; sums over its bytes take some 30 times as much.
 SIZE = 1 << 18
 #: ISO 639-1 codes by family. Other codes are families of their own.
@@ -104,19 +108,19 @@ def margins(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
 def machine(x: np.ndarray, y: np.ndarray, rounds: int = 200, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
     """A linear support vector machine (squared hinge, balanced classes) and its bias; y is 1 or -1.
 
-    Nesterov's accelerated gradient steps on all rows.
+    x's last column is BIAS. Nesterov's accelerated gradient steps on all rows.
     """
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     share, y = share.astype(np.float32), y.astype(np.float32)
-    x = np.hstack([x, np.full((len(x), 1), 0.1, np.float32)])
-    step = np.float32(1 / (2 * float((share * (x**2).sum(1)).sum()) + penalty))
+    squares = np.concatenate([(x[a : a + ROWS] ** 2).sum(1) for a in range(0, len(x), ROWS)])
+    step = np.float32(1 / (2 * float((share * squares).sum()) + penalty))
     w = v = np.zeros(x.shape[1], np.float32)
     for k in range(rounds):
         slack = np.maximum(np.float32(0), 1 - y * (x @ v))
         new = v - step * (np.float32(penalty) * v - 2 * ((share * y * slack) @ x))
         v = new + np.float32(k / (k + 3)) * (new - w)
         w = new
-    return w[:-1], float(w[-1] * 0.1)
+    return w[:-1], float(w[-1] * BIAS)
 
 
 @dataclass
@@ -165,13 +169,18 @@ class Model:
 
 def _contest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, float]:
     w, bias = machine(x, y)
-    margin = y * (x @ w + bias)
+    margin = y * (x[:, :-1] @ w + bias)
     slopes = np.array([0.5, 1, 2, 3, 4, 6, 8])
     loss = [np.log1p(np.exp(-np.clip(s * margin, -50, 50))).mean() for s in slopes]
     return w, bias, float(slopes[int(np.argmin(loss))])
 
 
 def fitted(x: np.ndarray, languages: list[str]) -> Model:
+    """All contests, each on the rows of its two classes; x's last column is BIAS."""
+
+    def only(rows: np.ndarray) -> np.ndarray:
+        return x if rows.all() else x[rows]
+
     families = sorted({family_of(v) for v in languages})
     own = [sorted({v for v in languages if family_of(v) == f}) for f in families]
     y = np.array(languages, object)
@@ -180,12 +189,12 @@ def fitted(x: np.ndarray, languages: list[str]) -> Model:
     for a, b in combinations(range(len(families)), 2):
         rows = (family == families[a]) | (family == families[b])
         contests.append((-1, a, b))
-        parts.append(_contest(x[rows], np.where(family[rows] == families[a], 1, -1)))
+        parts.append(_contest(only(rows), np.where(family[rows] == families[a], 1, -1)))
     for f, names in enumerate(own):
         for a, b in combinations(range(len(names)), 2):
             rows = (y == names[a]) | (y == names[b])
             contests.append((f, a, b))
-            parts.append(_contest(x[rows], np.where(y[rows] == names[a], 1, -1)))
+            parts.append(_contest(only(rows), np.where(y[rows] == names[a], 1, -1)))
     weights = np.array([w for w, _, _ in parts], np.float32).reshape(len(parts), 1 << BUCKET_BITS)
     return Model(families, own, contests, weights, np.array([b for _, b, _ in parts]), np.array([s for _, _, s in parts]))
 
@@ -212,13 +221,27 @@ def learned(docs: DataFrame, teach: Column) -> Model:
 
     chosen = map_slices(docs.where(spot < F.element_at(share, F.col("lang"))), features, "lang string, spots binary, values binary", most=1 << 18)
     sample = chosen.toArrow()  # about PER_LANGUAGE rows a language
-    x = np.zeros((sample.num_rows, 1 << BUCKET_BITS), np.float32)
-    for row, spots, values in zip(x, sample["spots"].to_pylist(), sample["values"].to_pylist(), strict=True):
-        row[np.frombuffer(spots, np.uint16)] = np.frombuffer(values, np.float32)
-    if not len(x):
+    if not sample.num_rows:
         return Model([], [], [], np.zeros((0, 1 << BUCKET_BITS), np.float32), np.zeros(0), np.zeros(0))
-    order = np.lexsort((x[:, 1], x[:, 0]))  # the fit does not hang on the order of rows
-    return fitted(x[order], [sample["lang"][int(k)].as_py() for k in order])
+    return fitted(*_features(sample))
+
+
+def _features(sample: pa.Table) -> tuple[np.ndarray, list[str]]:
+    """Dense rows with BIAS behind them, and their languages; written once, in the order of the fit."""
+    languages = sample["lang"].to_pylist()
+    spots = [np.frombuffer(v, np.uint16) for v in sample["spots"].to_pylist()]
+    values = [np.frombuffer(v, np.float32) for v in sample["values"].to_pylist()]
+    # the fit does not hang on the order of rows
+    lead = np.zeros((2, len(spots)), np.float32)
+    for k in range(len(spots)):
+        few = spots[k][:2][spots[k][:2] < 2]
+        lead[few, k] = values[k][: len(few)]
+    order = np.lexsort((lead[1], lead[0])).tolist()
+    x = np.zeros((len(order), (1 << BUCKET_BITS) + 1), np.float32)
+    x[:, -1] = BIAS
+    for row, k in zip(x, order, strict=True):
+        row[spots[k]] = values[k]
+    return x, [languages[k] for k in order]
 
 
 def held_out() -> Column:

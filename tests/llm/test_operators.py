@@ -267,6 +267,15 @@ def test_languages_of_odd_rows(odd, none):
         assert language.with_language(frame, model, "guess").columns == [*frame.columns, "guess"]
 
 
+def test_fit_of_languages_holds_its_rows_once(spark):
+    n = 1600
+    rows = [(k, f"{('the', 'der', 'les', 'los')[k % 4]} {prose(k, 20)}", ("en", "de", "fr", "es")[k % 4]) for k in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = []
+    most = peak_mb(lambda: models.append(language.learned(frame, language.held_out() | ~language.held_out())))
+    assert len(models[0].contests) == 3 and most * 1e6 < 2.2 * n * 4 * (1 << language.BUCKET_BITS)
+
+
 def test_sums_of_weights_equal_features():
     texts = pa.array(["", None, "a", "ab", "abc é", prose(1, 50)])
     weights = np.random.default_rng(0).standard_normal((3, 1 << language.BUCKET_BITS)).astype(np.float32)
