@@ -18,6 +18,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
 from courtflow.llm.common import BATCH_BYTES, BATCH_ROWS, gathered, table
-from courtflow.llm.words import NOT_SPACE, SLICE_BYTES, find_words, hash_ranges, raw, slices
+from courtflow.llm.words import SLICE_BYTES, hash_ranges, raw, slices
 
 WINDOW = 1024
 VOCABULARY = "byte_bpe_50k.json"
@@ -38,6 +39,11 @@ CACHED_UNITS = 1_000_000
 _WHOLE = re.compile(
     r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]|" + re.escape(SPECIAL)
 )
+#: For each byte: whether a text that _WHOLE finds must have one of those; first bytes, and the special token's rarest.
+_MAY_BE_WHOLE = bytes(b in b"\x1c\x1d\x1e\x1f\xc2\xe1\xe2\xe3\xef|" for b in range(256))
+#: White space 0, digits and letters of ASCII 1, its punctuation 2, all else 3; and between which of them a unit ends.
+_KINDS = bytes(0 if b == 32 or 9 <= b <= 13 else 3 if not 32 < b < 127 else 1 if chr(b).isalnum() else 2 for b in range(256))
+_CUT = np.array([right == 0 < left or (left, right) == (1, 2) for left in range(4) for right in range(4)])
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long"
 )
@@ -46,10 +52,11 @@ SCHEMA = (
 class UnitTokenizer:
     """Ids of whole texts, put together from the ids of units that are kept.
 
-    A unit is a run of white space and the word after it. The vocabulary's pattern never joins what
-    stands on the two sides of a unit's start, so a text's ids are its units' ids in a row. Units
-    are looked up by hash in sorted arrays; only new ones go through the tokenizer. The kept units
-    are bounded: when the arrays are full they start anew.
+    A unit is a run of white space and the word after it, cut once more where punctuation follows a
+    letter or digit (all of ASCII). The vocabulary's pattern never joins what stands on the two sides
+    of a unit's start, so a text's ids are its units' ids in a row. Units are looked up by hash in
+    sorted arrays; only new ones go through the tokenizer. The kept units are bounded: when the
+    arrays are full they start anew.
     """
 
     def __init__(self, path: str, most: int = CACHED_UNITS):
@@ -68,33 +75,28 @@ class UnitTokenizer:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, keys: np.ndarray, units: list[str]) -> None:
+        """Keep units whose keys are in ascending order, and new."""
         ids = self.ids(units)
         count = np.fromiter(map(len, ids), np.int64, len(ids))
         at = len(self.flat) + np.cumsum(count) - count
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum()))])
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.at = np.concatenate([self.at, at])[order]
-        self.count = np.concatenate([self.count, count])[order]
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))])
+        place = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, place, keys)
+        self.at = np.insert(self.at, place, at)
+        self.count = np.insert(self.count, place, count)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
-        words, offsets = find_words(texts, NOT_SPACE, hashed=False), raw(texts)[1]
-        text = words.text_of()
-        end = words.end
-        begin = np.concatenate([[0], end])[:-1]
-        filled = np.flatnonzero(np.diff(words.first))
-        begin[words.first[filled]] = offsets[filled]
-        last = offsets[:-1].copy()
-        last[filled] = end[words.first[filled + 1] - 1]
-        tails = np.flatnonzero(last < offsets[1:])  # white space at a text's end is one more unit
-        text = np.concatenate([text, tails])
-        order = np.argsort(text, kind="stable")
-        text = text[order]
-        begin = np.concatenate([begin, last[tails]])[order]
-        end = np.concatenate([end, offsets[1:][tails]])[order]
-        keys, where, back = np.unique(hash_ranges(words.data, begin, end), return_index=True, return_inverse=True)
+        data, offsets = raw(texts)
+        held = data.tobytes()
+        kind = np.frombuffer(held.translate(_KINDS), np.uint8)
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = len(data) > 0
+        edge[1:-1] |= _CUT[kind[:-1] * 4 + kind[1:]]
+        edges = np.flatnonzero(edge)
+        begin, end = edges[:-1], edges[1:]
+        text = np.searchsorted(offsets, begin, "right") - 1
+        keys, where, back = np.unique(hash_ranges(data, begin, end), return_index=True, return_inverse=True)
         if len(self.keys) > self.most:
             self._forget()
         found = np.searchsorted(self.keys, keys)
@@ -102,16 +104,19 @@ class UnitTokenizer:
         inside = found < len(self.keys)
         new[inside] = self.keys[found[inside]] != keys[inside]
         if new.any():
-            data, pick = words.data.tobytes(), where[new]
-            self._learn(keys[new], [data[b:e].decode() for b, e in zip(begin[pick].tolist(), end[pick].tolist(), strict=True)])
+            pick = where[new]
+            self._learn(keys[new], [held[b:e].decode() for b, e in zip(begin[pick].tolist(), end[pick].tolist(), strict=True)])
             found = np.searchsorted(self.keys, keys)
         count, at = self.count[found][back], self.at[found][back]
         ends = np.cumsum(count)
         flat = self.flat[np.arange(count.sum()) + np.repeat(at - (ends - count), count)]
         cuts = np.cumsum(np.bincount(text, count, len(texts)).astype(np.int64))
         out = np.split(flat, cuts[:-1])
-        odd = [k for k, x in enumerate(texts.to_pylist()) if x and _WHOLE.search(x)]
-        for k, ids in zip(odd, self.ids([texts[k].as_py() for k in odd]), strict=True):
+        # only texts with a byte that one of these has are searched for them
+        may = np.flatnonzero(np.frombuffer(held.translate(_MAY_BE_WHOLE), bool))
+        may = np.unique(np.searchsorted(offsets, may, "right") - 1).tolist()
+        odd = [(k, x) for k, x in zip(may, texts.take(pa.array(may, pa.int64())).to_pylist(), strict=True) if _WHOLE.search(x)]
+        for (k, _), ids in zip(odd, self.ids([x for _, x in odd]), strict=True):
             out[k] = np.array(ids, np.uint32)
         return out
 

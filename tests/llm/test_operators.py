@@ -144,6 +144,19 @@ def test_units_equal_whole_texts():
         assert [x.tolist() for x in units.encode(pa.array(texts[a : a + 300]))] == whole[a : a + 300]
 
 
+def test_words_and_the_punctuation_after_them_are_learned_apart():
+    rnd = random.Random(8)
+    bits = ["a", "It", "w7", "42", "'s", "'ll", "'", "s", ".", ",", "!?", "-", "_", "\"", " ", "  ", "\n", "é", "—", "…", "|", "\x7f", "\x1b"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    units = packing.UnitTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    whole = units.ids(texts)
+    for a in range(0, len(texts), 300):
+        assert [x.tolist() for x in units.encode(pa.array(texts[a : a + 300]))] == whole[a : a + 300]
+    units._forget()
+    units.encode(pa.array([" ".join(w + mark for w in WORDS for mark in ".,;:!?")]))
+    assert len(units.keys) <= len(WORDS) + 7
+
+
 def test_level_grows_the_sum_of_squares_least():
     rnd, packer = random.Random(5), packing.LevelPacker(16)
     for d in range(400):
