@@ -378,6 +378,41 @@ def test_recall_of_benchmark_places(spark):
     assert found <= right and all(b >= 20 and a >= 0.9 * b for a, b in recall.values()), recall
 
 
+def test_the_directions_are_fitted_on_all_documents(spark):
+    rnd = random.Random(12)
+    texts = [" ".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(9000)] + ["", None]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    space = decontamination.latent_space(docs, dimensions=32)
+    terms, begin, end, _, _ = decontamination.passages(pa.array(texts))
+    row, term, weight = decontamination.vectors(terms, begin, end, space.idf)
+    own = np.unique(term)
+    dense = np.zeros((len(begin), decontamination.TERMS))
+    dense[row, term] = weight
+    dense = dense[:, own]
+    assert np.allclose(space.idf[own], np.log(9001 / ((dense > 0).sum(0) + 1)) + decontamination.FLOOR, atol=1e-4)
+    # as many directions as terms: each scaled by its singular value, together they turn A'A into one
+    assert len(own) == 26 and np.allclose(space.basis[own] @ space.basis[own].T @ (dense.T @ dense), np.eye(26), atol=0.01)
+
+
+def test_numbers_of_terms_give_the_passages_of_texts(spark):
+    texts = ["", None, "a", "A b, C!", prose(1, 100), "é " * 40, prose(2, 33)]
+    numbers = decontamination.numbered(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)).toArrow()["words"].combine_chunks()
+    for some in (slice(0, 7), slice(3, 5), slice(0, 2)):
+        found = decontamination._numbered_passages(numbers[some])
+        assert all(np.array_equal(a, b) for a, b in zip(found, decontamination.passages(pa.array(texts[some], pa.string()))[:3], strict=True))
+
+
+def test_the_turned_product_of_terms_in_many_rows():
+    rnd = np.random.default_rng(6)
+    n = 2500
+    dense = np.where(rnd.random((n, 12)) < np.linspace(0.002, 1, 12), rnd.random((n, 12)), 0).astype(np.float32)
+    row, term = np.nonzero(dense)
+    left = rnd.random((n, 5)).astype(np.float32)
+    total = np.zeros((decontamination.TERMS, 5))
+    decontamination._turned(row, term, dense[row, term], left, total)
+    assert np.allclose(total[:12], dense.T @ left, rtol=1e-4) and not total[12:].any()
+
+
 def test_projection_equals_a_dense_product():
     rnd = np.random.default_rng(4)
     basis = rnd.standard_normal((decontamination.TERMS, 7)).astype(np.float32)
