@@ -11,7 +11,7 @@ from courtflow.operators import discovery, game_pages, player_pages, schedules,
 from courtflow.operators.keyed import DOCUMENT_TIME
 from courtflow.operators.writes import WriteAction
 from courtflow.schemas import RecordType
-from courtflow.session import scratch_path
+from courtflow.session import DOCUMENT_FILES, scratch_path
 from courtflow.sources.documents import DocumentStore, latest_documents, parse_documents
 from courtflow.sources.warehouse import Warehouse, Write
 
@@ -88,7 +88,8 @@ def _staged(parsed: DataFrame, record_type: RecordType) -> DataFrame:
     rows with one key the newest document's is written.
     """
     path = scratch_path(parsed.sparkSession, f"parsed-{record_type.value}")
-    parsed.select("document_key", DOCUMENT_TIME, "parsed").write.parquet(path)
+    rows = parsed.select("document_key", DOCUMENT_TIME, "parsed")
+    rows.write.options(**DOCUMENT_FILES).parquet(path)
     return parsed.sparkSession.read.parquet(path)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from courtflow.functions.payloads import EMPTY_PAYLOAD, cull_payload
 from courtflow.operators.keyed import absent_from
 from courtflow.schemas import CULL_PATHS, DOCUMENTS_DDL, MANIFEST_DDL, PAYLOADS, RecordType
+from courtflow.session import DOCUMENT_FILES
 
 _COMPACTED_DDL = "by STRING, loads ARRAY<STRING>"
 #: How names of loads begin that stand for others.
@@ -141,7 +142,8 @@ class DocumentStore:
         return rows.drop("load")
 
     def _write(self, df: DataFrame, name: str, load: str, by: Sequence[str]) -> None:
-        df.write.mode("overwrite").partitionBy(*by).parquet(f"{self.root}/{name}/load={load}")
+        files = df.write.mode("overwrite").options(**DOCUMENT_FILES).partitionBy(*by)
+        files.parquet(f"{self.root}/{name}/load={load}")
 
     def append_documents(self, records: DataFrame, load: str | None = None) -> str:
         """Append complete records, stamped with the load time; no deduplication.

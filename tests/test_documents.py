@@ -4,12 +4,13 @@ import datetime as dt
 import json
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from courtflow.functions import payloads, seasons, values
 from courtflow.operators import discovery, game_pages, player_pages, records, schedules, standings
-from courtflow.plans import worklist
+from courtflow.plans import transform, worklist
 from courtflow.plans.transform import transform_all
 from courtflow.operators.writes import WriteAction
 from courtflow.operators.discovery import pending_documents
@@ -486,3 +487,24 @@ def test_stages_take_only_what_earlier_ones_found(spark, tmp_path, store):
     worklist.ingest_staged(spark, f"{tmp_path}/landing", store, AS_OF, f"{tmp_path}/cp", listed_only=True, files=1)
     assert sorted(tuples(store.documents().select("record_type", "document_key"))) == [
         ("game", "11"), ("player", "71"), ("schedule", "2024-03-01"), ("standings", "2024")]
+
+
+def test_files_of_documents_hold_few_of_them_in_a_row_group(spark, tmp_path):
+    """Spark decodes a row group's documents together, up to 4,096 of them, with all their plays."""
+    play = lambda k: F.struct(
+        (F.col("id") * 200 + k).cast("string").alias("sequenceNumber"), F.sha1(F.concat_ws("-", "id", k)).alias("text"))
+    plays = F.transform(F.sequence(F.lit(1), F.lit(200)), play)
+    pages = spark.range(0, 1500, 1, 1).select(
+        F.col("id").cast("string").alias("document_key"), F.lit("game").alias("record_type"),
+        F.lit(True).alias("up_to_date"), F.to_json(F.struct(plays.alias("plays"))).alias("payload"))
+    store = DocumentStore(spark, str(tmp_path / "store")).create()
+    store.append_documents(pages)
+    stored = store.documents()
+    staged = transform._staged(parse_documents(stored, RecordType.GAME), RecordType.GAME)
+    for files in (stored, staged):
+        groups = []
+        for name in files.inputFiles():
+            held = pq.ParquetFile(re.sub("^file:/*", "/", name)).metadata
+            groups += [held.row_group(k).num_rows for k in range(held.num_row_groups)]
+        assert sum(groups) == 1500 and max(groups) <= 500
+    assert staged.select(F.sum(F.size("parsed.plays"))).first()[0] == 300_000
