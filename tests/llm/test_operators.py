@@ -482,6 +482,26 @@ def test_meetings_take_little_memory():
     assert len(pairs) == len(begin) * 100 and most < 40
 
 
+def test_only_pairs_without_enough_common_words_are_unlikely():
+    rnd = random.Random(13)
+    some = lambda n: " ".join(f"v{int(rnd.random() ** 3 * 300)}" for _ in range(n))
+    texts = pa.array(["", None, *(some(rnd.randint(1, 200)) for _ in range(60))])
+    space = decontamination.Space(np.ones(decontamination.TERMS), np.ones((decontamination.TERMS, 1), np.float32))
+    items = decontamination._items([{"item_id": k, "text": some(rnd.randint(5, 60))} for k in range(40)], space)
+    _, begin, end, text, hashes = decontamination.passages(texts)
+    stop = np.searchsorted(text, np.arange(len(texts)), "right")
+    stop = np.where(stop > 0, np.append(end, 0)[stop - 1], 0)
+    met, of = (x.ravel() for x in np.meshgrid(np.arange(len(begin)), np.arange(40), indexing="ij"))
+    found = decontamination.likely(items, decontamination.marks_of(hashes), begin, end, text, stop, met, of)
+    right = []
+    for p, i in zip(met.tolist(), of.tolist(), strict=True):
+        size, k = items.sizes[i], text[p]
+        around = Counter(hashes[max(begin[p] - size, stop[k - 1] if k else 0) : min(end[p] + size, stop[k])].tolist())
+        right.append(sum(min(own.bit_count(), around[w]) for w, own in items.words[i].items()) >= size / 2)
+    assert 100 < sum(right) < len(right) / 2 and found[right].all() and found.sum() < 1.2 * sum(right)
+    assert not len(decontamination.likely(items, decontamination.marks_of(hashes), begin, end, text, stop, met[:0], of[:0]))
+
+
 def test_spans_hold_every_candidate_once():
     rnd = random.Random(5)
     text = np.sort(np.array([rnd.randrange(6) for _ in range(100)]))
